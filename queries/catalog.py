@@ -231,27 +231,32 @@ def latest_order_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- silver layout ---
 
 
-def silver_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+@stored_once("by_date")
+def silver_by_date(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "by-date")
-    write_silver(silver(spark, sf_dir), path)
-    return loaded_dates(read_silver(spark, path))
+    write_silver(silver(spark, sf_dir), path, cluster_by=["road_district", "timestamp"])
+    return path
+
+
+def silver_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return loaded_dates(read_silver(spark, silver_by_date(spark, sf_dir)))
 
 
 def cluster_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "clustered")
-    write_silver(silver(spark, sf_dir), path, cluster_by=["road_district", "timestamp"])
-    return read_silver(spark, path).groupBy("date").agg(F.count("*").alias("rows"))
+    stored = read_silver(spark, silver_by_date(spark, sf_dir))
+    return stored.groupBy("date").agg(
+        F.count("*").alias("rows"), F.max("timestamp").cast("timestamp_ntz").alias("latest")
+    )
 
 
 def silver_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping batches, the second taken in twice, end as one clean table."""
+    """Two overlapping batches end as one clean table, here partitioned by month."""
     path = scratch_path(spark, "merged-silver")
-    good = valid(spark, sf_dir)
-    for flags in (["A", "N"], ["N", "R"], ["N", "R"]):
-        batch = good.filter(F.col("weather_condition").isin(flags))
-        merge_partitions(batch, path, order=TIE_BREAK)
-    merged = read_silver(spark, path).select(*COLUMNS, "alerts")
-    return presented(merged)
+    good = valid(spark, sf_dir).withColumn("month", F.date_format("timestamp", "yyyyMM"))
+    for flags in (["A", "N"], ["N", "R"]):
+        batch = materialize(good.filter(F.col("weather_condition").isin(flags)), "batch")
+        merge_partitions(batch, path, order=TIE_BREAK, partition="month")
+    return presented(read_silver(spark, path, columns=[*COLUMNS, "alerts"]))
 
 
 # --- gold ---

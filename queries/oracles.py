@@ -187,7 +187,7 @@ ORACLES: dict[str, str] = {
     "latest_order_per_customer": "select * from orders qualify row_number() over"
     " (partition by o_custkey order by o_orderdate desc, o_orderkey) = 1",
     "loaded_dates": f'{C} select distinct "date" from c',
-    "cluster_layout": f'{C} select "date", count(*) as rows from c group by 1',
+    "cluster_layout": f'{C} select "date", count(*) as rows, max("timestamp") as latest from c group by 1',
     "silver_merge": f"{C} select {FLAT} from c",
     "dim_time": CALENDAR,
     "dim_time_hour": f"{C} {HOURS}",

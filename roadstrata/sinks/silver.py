@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from roadstrata.operators.layout import by_partition
 from roadstrata.operators.survivors import dedupe
 from roadstrata.schema import SILVER_KEYS
-from roadstrata.workspace import materialize
+from roadstrata.workspace import materialize, session_setting
 
 MAX_LISTED_DATES = 10_000
+SMALLEST_TASK = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 
 
 def write_silver(
@@ -24,14 +25,19 @@ def write_silver(
     cluster_by: Sequence[str] = (),
     **layout_options,
 ) -> None:
-    """Write partitioned by day. With `mode="overwrite"` only the days in `df` are replaced."""
+    """Write partitioned by day. With `mode="overwrite"` only the days in `df` are replaced.
+
+    Every day costs a file, however few rows it holds, and AQE packs tasks by bytes
+    alone; the lower floor keeps a write of many thin days from becoming one task.
+    """
     laid_out = by_partition(df, partition, layout, cluster_by, **layout_options)
-    (
-        laid_out.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    with session_setting(df.sparkSession, SMALLEST_TASK, "64kb"):
+        (
+            laid_out.write.mode(mode)
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition)
+            .parquet(path)
+        )
 
 
 def stored_partitions(batch: DataFrame, path: str, partition: str = "date") -> DataFrame | None:
