@@ -72,13 +72,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat readings plus the tie-break columns. The small sides are joined to each other
-    first; which of them to broadcast is left to their measured sizes."""
+    """Flat readings plus the tie-break columns.
+
+    Stored tables are joined as they are, so that the size of each is known and not
+    guessed when it comes to broadcasting; only the two big sides must be shuffled.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     read = {name: table(spark, sf_dir, name) for name in TABLES}
-    places = read["nation"].join(
-        read["region"], F.col("n_regionkey") == F.col("r_regionkey")
-    ).select("n_nationkey", "n_name", "r_name")
+    places = read["nation"].join(read["region"], F.col("n_regionkey") == F.col("r_regionkey"))
 
     def with_place(df: DataFrame, nation_key: str, prefix: str) -> DataFrame:
         named = places.select(
@@ -88,15 +89,14 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         return df.join(named, F.col(nation_key) == F.col(f"{prefix}_place"))
 
-    buyers = with_place(read["customer"], "c_nationkey", "c")
-    sellers = with_place(read["supplier"], "s_nationkey", "s")
-    bought = read["orders"].join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    bought = read["orders"].join(read["customer"], F.col("o_custkey") == F.col("c_custkey"))
     joined = (
         read["lineitem"]
         .join(read["part"], F.col("l_partkey") == F.col("p_partkey"))
-        .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(read["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
         .join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
     )
+    joined = with_place(with_place(joined, "c_nationkey", "c"), "s_nationkey", "s")
     columns = [
         (F.expr(text).cast("timestamp") if name in TIMESTAMPS else F.expr(text)).alias(name)
         for name, text in COLUMNS.items()

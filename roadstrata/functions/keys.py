@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from roadstrata.workspace import shared_folder
+from roadstrata.workspace import materialize
 
 KEY_HEX_DIGITS = 15  # 60 bits: always a non-negative BIGINT
 
@@ -59,12 +59,9 @@ def dense_key(members: DataFrame, order: Sequence[str], key: str) -> DataFrame:
     order, so it does not depend on how many slices there were. `order` must be
     unique over `members`.
     """
-    shared_folder(members.sparkSession)
-    sliced = (
-        members.orderBy(*[F.col(c).asc_nulls_first() for c in order])
-        .withColumn("__row", F.monotonically_increasing_id())
-        .checkpoint()
-    )
+    ranked = members.orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    # Stored before use: a second evaluation could cut the slices elsewhere.
+    sliced = materialize(ranked.withColumn("__row", F.monotonically_increasing_id()), key)
     # The id holds the task number above bit 33 and the position in the task below it.
     sliced = sliced.withColumns(
         {

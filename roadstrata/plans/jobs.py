@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from roadstrata.functions.keys import repeated_keys
 from roadstrata.operators.flatten import flatten
+from roadstrata.operators.layout import by_partition
 from roadstrata.operators.rules import RuleSet, split, telemetry_rules
 from roadstrata.plans.dims import DIMENSIONS, dim_time
 from roadstrata.plans.facts import fact_traffic, traffic_rollup
@@ -187,7 +188,9 @@ def run_gold(
     with metrics.stage("fact_traffic") as stage:
         rows = silver if dates is None else silver.filter(F.col("date").isin(list(dates)))
         fact = fact_traffic(rows, dims if resolve == "join" else None, null_safe, keep=("date",))
-        fact = fact.hint("rebalance", "date")
+        if resolve == "join":
+            # Derived facts come straight from files of one day each and need no shuffle.
+            fact = by_partition(fact, "date")
         stored = publish(
             fact, layers.gold, "fact_traffic", fact_mode,
             partition_by=["date"], keep_other_partitions=dates is not None, jdbc=jdbc,

@@ -1,0 +1,254 @@
+import datetime as dt
+import math
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from roadstrata.functions.keys import dense_key, derived_key, hash_key, repeated_keys
+from roadstrata.functions.measures import CONGESTION_SCORES, narrow, ordinal
+from roadstrata.functions.times import (
+    calendar_between,
+    floor_time_key,
+    hour_key,
+    minute_calendar,
+    observed_hours,
+    time_key,
+)
+from roadstrata.operators.layout import by_partition
+from roadstrata.operators.lookup import lookup_key
+from roadstrata.operators.survivors import dedupe, latest_per_key
+from roadstrata.sinks.silver import write_silver
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+# --- survivors ---
+
+
+def test_dedupe_keeps_the_same_row_however_rows_are_spread(spark):
+    rows = [(k, t, f"payload-{i}") for i, (k, t) in enumerate([("a", 1), ("a", 1), (None, 1), (None, 1), ("b", 2)] * 40)]
+    df = spark.createDataFrame(rows, "k string, t int, p string")
+    results = {
+        tuple(sorted((str(r.k), r.t, r.p) for r in dedupe(df.repartition(n), ["k", "t"]).collect()))
+        for n in (1, 3, 16)
+    }
+    assert len(results) == 1 and len(results.pop()) == 3
+
+
+def test_dedupe_by_given_order(spark):
+    df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 5)], "k string, seq int")
+    assert sorted(map(tuple, dedupe(df, ["k"], ["seq"]).collect())) == [("a", 1), ("b", 5)]
+
+
+def test_latest_with_ties_and_null_key(spark):
+    rows = [("L1", 1, "x"), ("L1", 2, "z"), ("L1", 2, "y"), (None, 7, "n"), (None, 6, "m"), ("L2", None, "q")]
+    df = spark.createDataFrame(rows, "license string, t int, v string")
+    got = {r.license: r.v for r in latest_per_key(df, ["license"], "t", ties=["v"]).collect()}
+    assert got == {"L1": "y", None: "n", "L2": "q"}
+
+
+def test_hot_key_is_cut_down_before_the_shuffle(spark):
+    """A key with a third of the rows reaches the shuffle as at most one row per map task."""
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("seq")
+    ).repartition(4)
+    deduped = dedupe(df, ["k"], ["seq"])
+    plan = plan_of(deduped)
+    exchange = plan.index("Exchange hashpartitioning(k")
+    assert "Partial" in plan[exchange:] and "WindowGroupLimit" in plan[exchange:]
+    assert deduped.count() == 20_001
+
+
+# --- keys ---
+
+
+def test_hash_key_parts_do_not_run_together(spark):
+    df = spark.createDataFrame(
+        [("a", "b"), ("ab", ""), ("", "ab"), (None, "ab"), ("ab", None), ("N", "b"), (None, "b"), (None, None), ("1:a", "b")],
+        "x string, y string",
+    )
+    keys = [r[0] for r in df.select(hash_key(["x", "y"])).collect()]
+    assert len(set(keys)) == len(keys) and all(0 <= k < 2**60 for k in keys)
+
+
+def test_hash_key_does_not_depend_on_the_plan(spark, settings):
+    df = spark.range(500).select(F.col("id").cast("string").alias("a"), (F.col("id") % 7).alias("b"))
+    keyed = lambda: {r.a: r.k for r in df.repartition(13).withColumn("k", hash_key(["a", "b"])).collect()}
+    first = keyed()
+    settings(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="64")
+    assert keyed() == first
+
+
+def test_dense_key_is_the_rank_for_any_number_of_slices(spark, settings):
+    names = [None, "", *[f"n{i:03d}" for i in range(500)]]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
+    for slices in ("1", "16"):
+        settings(spark__sql__shuffle__partitions=slices)
+        got = {r.name: r.sk for r in dense_key(df, ["name"], "sk").collect()}
+        assert got == {n: i for i, n in enumerate(names)}
+
+
+def test_dense_key_of_nothing(spark):
+    assert dense_key(spark.createDataFrame([], "name string"), ["name"], "sk").count() == 0
+
+
+def test_repeated_keys(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "sk bigint")
+    assert [r.sk for r in repeated_keys(df, "sk").collect()] == [1]
+
+
+# --- lookups ---
+
+
+DIM = [("A", "D", 1), ("B", "D", 2), (None, "D", 3)]
+
+
+@pytest.fixture(scope="module")
+def dim(spark):
+    return spark.createDataFrame(DIM, "street string, district string, sk bigint")
+
+
+@pytest.fixture(scope="module")
+def fact(spark):
+    rows = [(1, "A", "D"), (2, "Z", "D"), (3, None, "D"), (4, "B", None), (5, "B", "D")]
+    return spark.createDataFrame(rows, "id bigint, s string, d string")
+
+
+ON = {"street": "s", "district": "d"}
+
+
+@pytest.mark.parametrize("spread", [(), ("id",)])
+def test_null_parts_find_no_member(fact, dim, spread):
+    got = lookup_key(fact, dim, ON, "sk", "place_sk", spread_by=spread)
+    assert got.columns == ["id", "s", "d", "place_sk"]
+    assert {r.id: r.place_sk for r in got.collect()} == {1: 1, 2: None, 3: None, 4: None, 5: 2}
+
+
+def test_null_safe_lookup_finds_the_null_member(fact, dim):
+    got = lookup_key(fact, dim, ON, "sk", null_safe=True)
+    assert {r.id: r.sk for r in got.collect()} == {1: 1, 2: None, 3: 3, 4: None, 5: 2}
+
+
+def test_one_dimension_in_two_roles(fact, dim):
+    twice = lookup_key(lookup_key(fact, dim, ON, "sk", "from_sk"), dim, {"street": "'B'", "district": "d"}, "sk", "to_sk")
+    assert {r.id: (r.from_sk, r.to_sk) for r in twice.collect()}[1] == (1, 2)
+
+
+def test_float_keys_match_nan_and_zero(spark):
+    dim = spark.createDataFrame([(math.nan, 1), (0.0, 2)], "t float, sk bigint")
+    fact = spark.createDataFrame([(1, math.nan), (2, -0.0), (3, 1.5)], "id int, t double")
+    got = lookup_key(fact, dim, {"t": "cast(t as float)"}, "sk")
+    assert {r.id: r.sk for r in got.collect()} == {1: 1, 2: 2, 3: None}
+
+
+def test_hot_and_null_keys_are_split_in_a_shuffled_join(spark, settings):
+    """A third of the rows on one key and a third on null: result whole, work spread."""
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20kb",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20kb",
+    )
+    n = 60_000
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 997))
+    fact = spark.range(n).select("id", key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("pad")).repartition(8)
+    members = fact.select("k").filter("k is not null").distinct()
+    dim = members.withColumn("sk", hash_key(["k"]))
+    joined = lookup_key(fact, dim, {"k": "k"}, "sk", spread_by=["id"])
+    per_task = Counter(
+        r.task for r in joined.select(F.spark_partition_id().alias("task")).collect()
+    )
+    assert sum(per_task.values()) == n
+    assert max(per_task.values()) < n / 3
+    found = joined.agg(F.count("sk"), F.count_if(F.col("sk") != hash_key(["k"]))).first()
+    assert tuple(found) == (2 * n // 3, 0)
+
+
+def test_derived_key_equals_lookup(spark, fact):
+    members = fact.select("s", "d").distinct()
+    dim = members.withColumn("sk", hash_key(["s", "d"]))
+    for null_safe in (False, True):
+        looked_up = lookup_key(fact, dim, {"s": "s", "d": "d"}, "sk", null_safe=null_safe)
+        derived = fact.withColumn("sk", derived_key(["s", "d"], null_safe))
+        assert sorted(map(tuple, looked_up.collect())) == sorted(map(tuple, derived.collect()))
+
+
+# --- scalar functions ---
+
+
+def test_congestion_codes(spark):
+    levels = ["Low", "Moderate", "High", "Heavy", "heavy", "", None]
+    df = spark.createDataFrame([(x,) for x in levels], "level string")
+    assert [r[0] for r in df.select(ordinal("level", CONGESTION_SCORES)).collect()] == [1, 2, 3, 4, 0, 0, 0]
+
+
+def test_narrowing_overflow_is_null(spark):
+    df = spark.createDataFrame([(2**31 - 1,), (2**31,), (None,)], "x bigint")
+    assert [r.x for r in df.select(narrow("x", "int")).collect()] == [2**31 - 1, None, None]
+
+
+def test_time_keys(spark):
+    df = spark.createDataFrame([("2024-03-03 10:20:59.999",), ("1969-12-31 23:59:30",)], "s string").select(
+        F.col("s").cast("timestamp").alias("ts")
+    )
+    rows = df.select(
+        time_key("ts").alias("sec"),
+        floor_time_key(time_key("ts"), "minute").alias("min"),
+        floor_time_key(time_key("ts"), "hour").alias("hour"),
+        hour_key("ts").alias("hk"),
+    ).collect()
+    assert tuple(rows[0]) == (1709461259, 1709461200, 1709460000, 2024030310)
+    assert tuple(rows[1])[:3] == (-30, -60, -3600)
+
+
+def test_calendar(spark):
+    default = minute_calendar(spark)
+    assert default.count() == 262_080
+    assert default.rdd.getNumPartitions() > 1
+    first = default.orderBy("time_sk").first()
+    assert (first.time_sk, first.date, first.month_name, first.day_of_week) == (1704067200, "2024-01-01", "January", 2)
+    sunday = default.filter("date = '2024-03-03' and hour = 10 and minute = 5").first()
+    assert sunday.day_of_week == 1
+    one = minute_calendar(spark, dt.datetime(2025, 5, 5, 1, 2, 30), dt.datetime(2025, 5, 5, 1, 2, 59))
+    assert [(r.hour, r.minute) for r in one.collect()] == [(1, 2)]
+
+
+def test_calendar_between_and_hours(spark):
+    df = spark.createDataFrame([("2024-01-01 00:00:30",), ("2024-01-01 02:01:00",), ("2024-01-01 02:59:00",)], "s string")
+    df = df.select(F.col("s").cast("timestamp").alias("ts"))
+    assert calendar_between(df, "ts").count() == 180
+    assert calendar_between(df.limit(0), "ts").count() == 0
+    assert sorted(r.time_sk for r in observed_hours(df, "ts").collect()) == [2024010100, 2024010102]
+
+
+# --- layout ---
+
+
+@pytest.mark.parametrize("options", [{}, {"layout": "hash"}, {"layout": "hash", "buckets": 4}, {"layout": "as_is"}])
+def test_layouts_keep_every_row(spark, options):
+    df = spark.range(1000).select("id", (F.col("id") % 3).alias("day"))
+    laid_out = by_partition(df, "day", cluster_by=["id"], **options)
+    assert sorted(r.id for r in laid_out.collect()) == list(range(1000))
+
+
+def test_rebalance_splits_a_hot_day(spark, settings, tmp_path):
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="256kb")
+    df = spark.range(60_000).repartition(8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("day"),
+        F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+    )
+    out = tmp_path / "out"
+    write_silver(df, str(out), partition="day")
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in out.glob("day=*")}
+    assert len(files) == 50 and files["day=0"] > 2
+    assert spark.read.parquet(str(out)).count() == 60_000
+
+
+def test_unknown_layout_is_refused(spark):
+    with pytest.raises(ValueError):
+        by_partition(spark.range(1), "id", "sideways")
