@@ -72,6 +72,16 @@ ROLES = (
     ),
 )
 
+# Flat columns that the dimensions and the fact read; the rest never leaves the files.
+GOLD_INPUT = [
+    *SILVER_KEYS,
+    "date",
+    *[column for role in ROLES for column in role.on.values()],
+    "vehicle_type", "vehicle_classification", "vehicle_length", "vehicle_width", "vehicle_height",
+    "speed_kmph", "rpm", "fuel_level_percentage", "passenger_count",
+    "congestion_level", "estimated_delay_minutes", "eta",
+]
+
 
 def measures() -> list[Column]:
     return [

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from roadstrata.functions.keys import repeated_keys
@@ -15,10 +15,10 @@ from roadstrata.operators.flatten import flatten
 from roadstrata.operators.layout import by_partition
 from roadstrata.operators.rules import RuleSet, split, telemetry_rules
 from roadstrata.plans.dims import DIMENSIONS, dim_time
-from roadstrata.plans.facts import fact_traffic, traffic_rollup
+from roadstrata.plans.facts import GOLD_INPUT, fact_traffic, traffic_rollup
 from roadstrata.sinks.bronze import land_bronze, manifest_rows, write_manifest
 from roadstrata.sinks.gold import JdbcTarget, publish
-from roadstrata.sinks.metrics import RunMetrics, stored_rows
+from roadstrata.sinks.metrics import RunMetrics, counted
 from roadstrata.sinks.silver import merge_partitions, write_quarantine
 from roadstrata.sources.files import (
     append_ledger,
@@ -133,8 +133,7 @@ def run_silver(
 
     with metrics.stage("silver") as stage:
         valid, _ = split(flat, rules)
-        merge_partitions(valid, layers.silver, cluster_by=cluster_by)
-        stage.rows = stored_rows(spark, layers.silver)
+        stage.rows = merge_partitions(valid, layers.silver, cluster_by=cluster_by)
     append_ledger(batches, layers.silver_ledger)
     return metrics
 
@@ -148,36 +147,47 @@ def run_gold(
     null_safe: bool = False,
     grain: str = "second",
     fact_mode: str = "overwrite",
+    partition_fact: bool = True,
     jdbc: JdbcTarget | None = None,
+    cache_silver: bool = False,
     parallel: int = 4,
 ) -> RunMetrics:
     """Build the dimensions, then the fact and its rollup, each evaluated once.
 
     The fact is stored by day and rebuilt day by day, all days or just `dates`, so a
-    rerun replaces its rows; `fact_mode="append"` adds them again instead.
-    `resolve` is how fact rows find their keys: "derive" or "join".
+    rerun replaces its rows; `fact_mode="append"` adds them again instead. Without
+    `partition_fact` it is one flat table, and a rerun rebuilds all of it.
+    `resolve` is how fact rows find their keys: "derive" or "join". `cache_silver`
+    keeps the columns in use on the executors: worth it while they fit there,
+    above all when the days are many and thin; beyond that each table's scan reads
+    only its own columns anyway. A lost executor's part is read again.
     """
     if resolve not in ("derive", "join"):
         raise ValueError(f"unknown way to resolve keys: {resolve!r}")
+    if dates is not None and not partition_fact:
+        raise ValueError("single days can only be rebuilt in a fact stored by day")
     metrics = RunMetrics("gold")
-    silver = read_silver(spark, layers.silver)
+    silver = read_silver(spark, layers.silver, columns=GOLD_INPUT)
+    if cache_silver:
+        silver = silver.persist(StorageLevel.MEMORY_AND_DISK)
 
-    def build_dim(name: str) -> DataFrame:
-        build, key = DIMENSIONS[name]
+    def store(name: str, df: DataFrame, **how) -> DataFrame:
         with metrics.stage(name) as stage:
-            stored = publish(build(silver), layers.gold, name, jdbc=jdbc)
-            if not repeated_keys(stored, key).isEmpty():
-                raise ValueError(f"{name}: two members share a {key}; use dense keys")
-            stage.rows = stored_rows(spark, f"{layers.gold}/{name}")
+            df, written = counted(df)
+            stored = publish(df, layers.gold, name, jdbc=jdbc, **how)
+            stage.rows = written.get["rows"]
         return stored
 
-    def build_calendar() -> DataFrame:
-        with metrics.stage("dim_time") as stage:
-            stored = publish(dim_time(spark, *(calendar or ())), layers.gold, "dim_time", jdbc=jdbc)
-            stage.rows = stored_rows(spark, f"{layers.gold}/dim_time")
+    def build_dim(name: str) -> DataFrame:
+        build, key = DIMENSIONS[name]
+        stored = store(name, build(silver))
+        if not repeated_keys(stored, key).isEmpty():
+            raise ValueError(f"{name}: two members share a {key}; use dense keys")
         return stored
 
-    tasks: dict[str, Callable[[], DataFrame]] = {"dim_time": build_calendar}
+    tasks: dict[str, Callable[[], DataFrame]] = {
+        "dim_time": lambda: store("dim_time", dim_time(spark, *(calendar or ())))
+    }
     for name in DIMENSIONS:
         tasks[name] = lambda name=name: build_dim(name)
     # The tables do not depend on each other, so their jobs share the cluster.
@@ -185,18 +195,17 @@ def run_gold(
         running = {n: pool.submit(inheritable_thread_target(spark)(t)) for n, t in tasks.items()}
         dims = {name: future.result() for name, future in running.items()}
 
-    with metrics.stage("fact_traffic") as stage:
-        rows = silver if dates is None else silver.filter(F.col("date").isin(list(dates)))
-        fact = fact_traffic(rows, dims if resolve == "join" else None, null_safe, keep=("date",))
-        if resolve == "join":
-            # Derived facts come straight from files of one day each and need no shuffle.
-            fact = by_partition(fact, "date")
-        stored = publish(
-            fact, layers.gold, "fact_traffic", fact_mode,
-            partition_by=["date"], keep_other_partitions=dates is not None, jdbc=jdbc,
-        )
-        stage.rows = stored_rows(spark, f"{layers.gold}/fact_traffic")
-    with metrics.stage("fact_traffic_minute_agg") as stage:
-        publish(traffic_rollup(stored, grain), layers.gold, "fact_traffic_minute_agg", jdbc=jdbc)
-        stage.rows = stored_rows(spark, f"{layers.gold}/fact_traffic_minute_agg")
+    rows = silver if dates is None else silver.filter(F.col("date").isin(list(dates)))
+    by_day = ("date",) if partition_fact else ()
+    fact = fact_traffic(rows, dims if resolve == "join" else None, null_safe, keep=by_day)
+    if by_day and resolve == "join":
+        fact = by_partition(fact, "date")
+    # Else: derived facts come straight from files of one day each and need no shuffle.
+    stored = store(
+        "fact_traffic", fact, mode=fact_mode, partition_by=by_day,
+        keep_other_partitions=dates is not None,
+    )
+    store("fact_traffic_minute_agg", traffic_rollup(stored, grain))
+    if cache_silver:
+        silver.unpersist()
     return metrics

@@ -6,7 +6,7 @@ import time
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 METRICS_DDL = "run_id STRING, stage STRING, rows BIGINT, seconds DOUBLE"
 
@@ -44,6 +44,15 @@ class _Entry:
     rows: int | None = None
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """`df`, and its row count as a by-product of the action that writes it: no job of its own.
+
+    Count at the end of a plan: there each task's rows are taken once, even if it runs twice.
+    """
+    rows = Observation()
+    return df.observe(rows, F.count(F.lit(1)).alias("rows")), rows
+
+
 def stored_rows(spark: SparkSession, path: str) -> int:
     """Rows of a stored Parquet table. No column is read, so the footers answer it."""
     return spark.read.parquet(path).count()

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadstrata.operators.layout import by_partition
 from roadstrata.operators.survivors import dedupe
 from roadstrata.schema import SILVER_KEYS
-from roadstrata.workspace import materialize, session_setting
+from roadstrata.sinks.metrics import counted
+from roadstrata.workspace import materialize, path_exists, session_setting
 
 MAX_LISTED_DATES = 10_000
 SMALLEST_TASK = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
@@ -24,13 +24,13 @@ def write_silver(
     layout: str = "rebalance",
     cluster_by: Sequence[str] = (),
     **layout_options,
-) -> None:
-    """Write partitioned by day. With `mode="overwrite"` only the days in `df` are replaced.
+) -> int:
+    """Write partitioned by day; the number of rows written. With `mode="overwrite"` only the days in `df` are replaced.
 
     Every day costs a file, however few rows it holds, and AQE packs tasks by bytes
     alone; the lower floor keeps a write of many thin days from becoming one task.
     """
-    laid_out = by_partition(df, partition, layout, cluster_by, **layout_options)
+    laid_out, written = counted(by_partition(df, partition, layout, cluster_by, **layout_options))
     with session_setting(df.sparkSession, SMALLEST_TASK, "64kb"):
         (
             laid_out.write.mode(mode)
@@ -38,6 +38,7 @@ def write_silver(
             .partitionBy(partition)
             .parquet(path)
         )
+    return written.get["rows"]
 
 
 def stored_partitions(batch: DataFrame, path: str, partition: str = "date") -> DataFrame | None:
@@ -47,12 +48,9 @@ def stored_partitions(batch: DataFrame, path: str, partition: str = "date") -> D
     per stored folder, never one per row. A batch over very many days falls
     back to their range plus a semi join.
     """
-    try:
-        stored = batch.sparkSession.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    if not path_exists(batch.sparkSession, path):
         return None
+    stored = batch.sparkSession.read.parquet(path)
     days = batch.select(partition).distinct()
     low, high, n = days.agg(F.min(partition), F.max(partition), F.count(partition)).first()
     if n == 0:
@@ -69,8 +67,8 @@ def merge_partitions(
     order: Sequence[Column | str] | None = None,
     partition: str = "date",
     **layout_options,
-) -> None:
-    """Add `batch` to the table so that running it again changes nothing.
+) -> int:
+    """Add `batch` to the table so that running it again changes nothing; the rows written.
 
     Days not stored yet are deduplicated and written straight in. For the others,
     stored plus new rows are deduplicated, written to the shared folder, and only
@@ -80,11 +78,10 @@ def merge_partitions(
     """
     stored = stored_partitions(batch, path, partition)
     if stored is None or stored.isEmpty():
-        write_silver(dedupe(batch, keys, order), path, "append", partition, **layout_options)
-        return
+        return write_silver(dedupe(batch, keys, order), path, "append", partition, **layout_options)
     rows = stored.unionByName(batch, allowMissingColumns=True)
     rebuilt = materialize(dedupe(rows, keys, order), "merged")
-    write_silver(rebuilt, path, "overwrite", partition, **layout_options)
+    return write_silver(rebuilt, path, "overwrite", partition, **layout_options)
 
 
 def write_quarantine(

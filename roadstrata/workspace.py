@@ -36,6 +36,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on whatever file system its scheme names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 @contextmanager
 def session_setting(spark: SparkSession, name: str, value: str):
     """Run the actions in the block under one changed session setting."""
