@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Collection, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -28,6 +28,7 @@ from roadstrata.sources.files import (
     read_ledger,
 )
 from roadstrata.sources.telemetry import read_landed, read_silver, read_telemetry
+from roadstrata.workspace import SHUFFLE_WIDTH, session_setting, shuffle_width
 
 
 @dataclass(frozen=True)
@@ -84,7 +85,8 @@ def run_bronze(
     batch = batch_id(listing)
     with metrics.stage("land"):
         raw = read_telemetry(spark, [f.read_path for f in files], multiline)
-        land_bronze(raw, layers.bronze, ingest_date, batch)
+        # JSON Lines already come in even splits; a document is one task until it is spread.
+        land_bronze(raw, layers.bronze, ingest_date, batch, rebalance=multiline)
     with metrics.stage("manifest") as stage:
         landed = read_landed(spark, layers.bronze, [ingest_date]).filter(F.col("batch") == batch)
         target = f"{layers.bronze}/ingest_date={ingest_date}/batch={batch}"
@@ -133,7 +135,11 @@ def run_silver(
 
     with metrics.stage("silver") as stage:
         valid, _ = split(flat, rules)
-        stage.rows = merge_partitions(valid, layers.silver, cluster_by=cluster_by)
+        folders = [
+            "{}/ingest_date={}/batch={}".format(layers.bronze, *name.split("/")) for name in names
+        ]
+        with session_setting(spark, SHUFFLE_WIDTH, shuffle_width(spark, *folders)):
+            stage.rows = merge_partitions(valid, layers.silver, cluster_by=cluster_by)
     append_ledger(batches, layers.silver_ledger)
     return metrics
 
@@ -142,8 +148,9 @@ def run_gold(
     spark: SparkSession,
     layers: Layers,
     calendar: tuple[dt.datetime, dt.datetime] | None = None,
-    dates: Iterable[dt.date] | None = None,
+    dates: Collection[dt.date] | None = None,
     resolve: str = "derive",
+    dense: Collection[str] = (),
     null_safe: bool = False,
     grain: str = "second",
     fact_mode: str = "overwrite",
@@ -157,55 +164,60 @@ def run_gold(
     The fact is stored by day and rebuilt day by day, all days or just `dates`, so a
     rerun replaces its rows; `fact_mode="append"` adds them again instead. Without
     `partition_fact` it is one flat table, and a rerun rebuilds all of it.
-    `resolve` is how fact rows find their keys: "derive" or "join". `cache_silver`
-    keeps the columns in use on the executors: worth it while they fit there,
-    above all when the days are many and thin; beyond that each table's scan reads
-    only its own columns anyway. A lost executor's part is read again.
+    `resolve` is how fact rows find their keys: "derive" or "join". Dimensions named in
+    `dense` are numbered 0..n-1; those numbers move as members arrive, so they need
+    "join" and a fact rebuilt as a whole. `cache_silver` keeps the columns in use on
+    the executors: worth it while they fit there, above all when the days are many
+    and thin; beyond that each table's scan reads only its own columns anyway. A
+    lost executor's part is read again.
     """
     if resolve not in ("derive", "join"):
         raise ValueError(f"unknown way to resolve keys: {resolve!r}")
     if dates is not None and not partition_fact:
         raise ValueError("single days can only be rebuilt in a fact stored by day")
+    if dense and (resolve == "derive" or dates is not None or fact_mode == "append"):
+        raise ValueError("dense keys need resolve='join' and a fact rebuilt as a whole")
     metrics = RunMetrics("gold")
-    silver = read_silver(spark, layers.silver, columns=GOLD_INPUT)
-    if cache_silver:
-        silver = silver.persist(StorageLevel.MEMORY_AND_DISK)
-
-    def store(name: str, df: DataFrame, **how) -> DataFrame:
-        with metrics.stage(name) as stage:
-            df, written = counted(df)
-            stored = publish(df, layers.gold, name, jdbc=jdbc, **how)
-            stage.rows = written.get["rows"]
-        return stored
-
-    def build_dim(name: str) -> DataFrame:
-        build, key = DIMENSIONS[name]
-        stored = store(name, build(silver))
-        if not repeated_keys(stored, key).isEmpty():
-            raise ValueError(f"{name}: two members share a {key}; use dense keys")
-        return stored
-
-    tasks: dict[str, Callable[[], DataFrame]] = {
-        "dim_time": lambda: store("dim_time", dim_time(spark, *(calendar or ())))
-    }
-    for name in DIMENSIONS:
-        tasks[name] = lambda name=name: build_dim(name)
-    # The tables do not depend on each other, so their jobs share the cluster.
-    with ThreadPoolExecutor(max(1, parallel)) as pool:
-        running = {n: pool.submit(inheritable_thread_target(spark)(t)) for n, t in tasks.items()}
-        dims = {name: future.result() for name, future in running.items()}
-
-    rows = silver if dates is None else silver.filter(F.col("date").isin(list(dates)))
-    by_day = ("date",) if partition_fact else ()
-    fact = fact_traffic(rows, dims if resolve == "join" else None, null_safe, keep=by_day)
-    if by_day and resolve == "join":
-        fact = by_partition(fact, "date")
-    # Else: derived facts come straight from files of one day each and need no shuffle.
-    stored = store(
-        "fact_traffic", fact, mode=fact_mode, partition_by=by_day,
-        keep_other_partitions=dates is not None,
-    )
-    store("fact_traffic_minute_agg", traffic_rollup(stored, grain))
-    if cache_silver:
-        silver.unpersist()
+    with session_setting(spark, SHUFFLE_WIDTH, shuffle_width(spark, layers.silver)):
+        silver = read_silver(spark, layers.silver, columns=GOLD_INPUT)
+        if cache_silver:
+            silver = silver.persist(StorageLevel.MEMORY_AND_DISK)
+
+        def store(name: str, df: DataFrame, **how) -> DataFrame:
+            with metrics.stage(name) as stage:
+                df, written = counted(df)
+                stored = publish(df, layers.gold, name, jdbc=jdbc, **how)
+                stage.rows = written.get["rows"]
+            return stored
+
+        def build_dim(name: str) -> DataFrame:
+            build, key = DIMENSIONS[name]
+            stored = store(name, build(silver, dense=name in dense))
+            if not repeated_keys(stored, key).isEmpty():
+                raise ValueError(f"{name}: two members share a {key}; use dense keys")
+            return stored
+
+        tasks: dict[str, Callable[[], DataFrame]] = {
+            "dim_time": lambda: store("dim_time", dim_time(spark, *(calendar or ())))
+        }
+        for name in DIMENSIONS:
+            tasks[name] = lambda name=name: build_dim(name)
+        # The tables do not depend on each other, so their jobs share the cluster.
+        with ThreadPoolExecutor(max(1, parallel)) as pool:
+            running = {n: pool.submit(inheritable_thread_target(spark)(t)) for n, t in tasks.items()}
+            dims = {name: future.result() for name, future in running.items()}
+
+        rows = silver if dates is None else silver.filter(F.col("date").isin(list(dates)))
+        by_day = ("date",) if partition_fact else ()
+        fact = fact_traffic(rows, dims if resolve == "join" else None, null_safe, keep=by_day)
+        if by_day and resolve == "join":
+            fact = by_partition(fact, "date")
+        # Else: derived facts come straight from files of one day each and need no shuffle.
+        stored = store(
+            "fact_traffic", fact, mode=fact_mode, partition_by=by_day,
+            keep_other_partitions=dates is not None,
+        )
+        store("fact_traffic_minute_agg", traffic_rollup(stored, grain))
+        if cache_silver:
+            silver.unpersist()
     return metrics

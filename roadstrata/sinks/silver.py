@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadstrata.operators.layout import by_partition
 from roadstrata.operators.survivors import dedupe
 from roadstrata.schema import SILVER_KEYS
 from roadstrata.sinks.metrics import counted
-from roadstrata.workspace import materialize, path_exists, session_setting
+from roadstrata.workspace import (
+    discard,
+    materialize_at,
+    path_exists,
+    scratch_path,
+    session_setting,
+)
 
 MAX_LISTED_DATES = 10_000
 SMALLEST_TASK = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
@@ -50,7 +57,13 @@ def stored_partitions(batch: DataFrame, path: str, partition: str = "date") -> D
     """
     if not path_exists(batch.sparkSession, path):
         return None
-    stored = batch.sparkSession.read.parquet(path)
+    try:
+        stored = batch.sparkSession.read.parquet(path)
+    except AnalysisException as error:
+        # Written before, but never a row: there is no file to take a schema from.
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
     days = batch.select(partition).distinct()
     low, high, n = days.agg(F.min(partition), F.max(partition), F.count(partition)).first()
     if n == 0:
@@ -80,8 +93,11 @@ def merge_partitions(
     if stored is None or stored.isEmpty():
         return write_silver(dedupe(batch, keys, order), path, "append", partition, **layout_options)
     rows = stored.unionByName(batch, allowMissingColumns=True)
-    rebuilt = materialize(dedupe(rows, keys, order), "merged")
-    return write_silver(rebuilt, path, "overwrite", partition, **layout_options)
+    staging = scratch_path(batch.sparkSession, "merged")
+    rebuilt = materialize_at(dedupe(rows, keys, order), staging)
+    written = write_silver(rebuilt, path, "overwrite", partition, **layout_options)
+    discard(batch.sparkSession, staging)
+    return written
 
 
 def write_quarantine(

@@ -8,6 +8,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHUFFLE_WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder. A local session without one gets a fresh temporary folder."""
@@ -26,12 +28,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other call returns."""
-    return f"{shared_folder(spark)}/roadstrata/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/roadstrata/{spark.sparkContext.applicationId}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back: later plans start from the files."""
-    path = scratch_path(df.sparkSession, label)
+    return materialize_at(df, scratch_path(df.sparkSession, label))
+
+
+def materialize_at(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -42,6 +51,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table of this application once its rows are stored elsewhere."""
+    if not path.startswith(_own_folder(spark) + "/"):
+        raise ValueError(f"{path} is not an intermediate table of this application")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def shuffle_width(
+    spark: SparkSession,
+    *paths: str,
+    bytes_per_task: int = 64 << 20,
+    ceiling: int = 32_768,
+) -> int:
+    """How many partitions a shuffle of the files under `paths` should start with.
+
+    AQE merges shuffle partitions that turn out small but cannot split ones that are all
+    too big, so the starting number must follow the input: about `bytes_per_task`
+    of compressed columnar data each, never under the session's own number.
+    """
+    total = 0
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        total += files.getContentSummary(target).getLength()
+    wanted = -(-total // bytes_per_task)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(wanted, ceiling))
+
+
 @contextmanager
 def session_setting(spark: SparkSession, name: str, value: str):
     """Run the actions in the block under one changed session setting."""

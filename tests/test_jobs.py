@@ -1,5 +1,6 @@
 """Whole jobs over small files: results, invariants, and reruns that change nothing."""
 
+import datetime as dt
 import json
 import math
 
@@ -30,6 +31,8 @@ def day(d, minute=0, **changes):
     )
 
 
+SHORT = (dt.datetime(2024, 3, 1), dt.datetime(2024, 3, 2))
+
 FIRST = [
     day(1), day(1), day(1, 5, vehicle_id="V2", owner__license_number="L2"),
     day(2, speed_kmph=999.0), day(2, road__street=None, engine_status__rpm=-1),
@@ -209,22 +212,64 @@ def test_gold_twice_gives_the_same_tables(spark, inbox, layers):
     metrics = run_gold(spark, layers).rows()
     assert metrics["dim_time"] == 262_080 and metrics["fact_traffic"] == 3
     first = stored()
-    run_gold(spark, layers, resolve="join")
+    run_gold(spark, layers, SHORT, resolve="join")
     assert stored() == first
-    run_gold(spark, layers, dates=[row.date for row in read_silver(spark, layers.silver).select("date").distinct().collect()][:1])
+    run_gold(spark, layers, SHORT, dates=[dt.date(2024, 3, 1)])
     assert stored() == first
-    run_gold(spark, layers, fact_mode="append")
+    run_gold(spark, layers, SHORT, fact_mode="append")
     assert len(rows(spark.read.parquet(f"{layers.gold}/fact_traffic"))) == 6
 
 
 def test_gold_refuses_colliding_keys(spark, inbox, layers, monkeypatch):
     run_bronze(spark, str(inbox), layers, "2024-03-05")
     run_silver(spark, layers)
-    colliding = lambda silver: DIMENSIONS_BEFORE["dim_owner"][0](silver).withColumn("owner_sk", F.lit(1).cast("bigint"))
-    DIMENSIONS_BEFORE = dict(DIMENSIONS)
+    build = DIMENSIONS["dim_owner"][0]
+
+    def colliding(silver, dense):
+        return build(silver).withColumn("owner_sk", F.lit(1).cast("bigint"))
+
     monkeypatch.setitem(DIMENSIONS, "dim_owner", (colliding, "owner_sk"))
     with pytest.raises(ValueError, match="dense"):
-        run_gold(spark, layers)
+        run_gold(spark, layers, SHORT)
+
+
+def test_gold_with_dense_keys_and_one_flat_fact(spark, inbox, layers):
+    run_bronze(spark, str(inbox), layers, "2024-03-05")
+    run_silver(spark, layers)
+    metrics = run_gold(
+        spark, layers, SHORT, resolve="join", dense=["dim_owner"], partition_fact=False, cache_silver=True
+    ).rows()
+    fact = spark.read.parquet(f"{layers.gold}/fact_traffic")
+    assert fact.count() == metrics["fact_traffic"] == 3 and "date" not in fact.columns
+    owners = spark.read.parquet(f"{layers.gold}/dim_owner")
+    assert sorted(r.owner_sk for r in owners.collect()) == [0, 1]
+    assert fact.filter("owner_sk is not null").join(owners, "owner_sk", "left_anti").isEmpty()
+
+
+@pytest.mark.parametrize(
+    "options",
+    [
+        {"resolve": "guess"},
+        {"dense": ["dim_owner"]},
+        {"dense": ["dim_owner"], "resolve": "join", "fact_mode": "append"},
+        {"dates": ["2024-03-01"], "partition_fact": False},
+    ],
+)
+def test_gold_refuses_unsound_options(spark, layers, options):
+    with pytest.raises(ValueError):
+        run_gold(spark, layers, **options)
+
+
+def test_silver_after_a_batch_without_one_good_row(spark, tmp_path, layers):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    write_document(inbox / "a.json", [day(1, vehicle_id=None)])
+    run_bronze(spark, str(inbox), layers, "2024-03-05")
+    assert run_silver(spark, layers).rows()["silver"] == 0
+    write_document(inbox / "b.json", [day(1)])
+    run_bronze(spark, str(inbox), layers, "2024-03-05")
+    assert run_silver(spark, layers).rows()["silver"] == 1
+    assert read_silver(spark, layers.silver).count() == 1
 
 
 def test_merge_keeps_rows_of_a_partly_covered_day(spark, tmp_path):

@@ -5,7 +5,14 @@ import pytest
 from roadstrata.session import build_session, object_store_conf, object_store_from_env
 from roadstrata.sinks.gold import JdbcTarget, publish, write_gold, write_jdbc
 from roadstrata.sinks.metrics import RunMetrics, stored_rows
-from roadstrata.workspace import scratch_path, session_setting, shared_folder
+from roadstrata.workspace import (
+    discard,
+    path_exists,
+    scratch_path,
+    session_setting,
+    shared_folder,
+    shuffle_width,
+)
 
 TARGET = JdbcTarget("jdbc:postgresql://db/gold", "org.postgresql.Driver", "u", "secret")
 
@@ -127,6 +134,25 @@ def test_shared_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "x").startswith(folder) and scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_only_own_intermediate_tables_are_discarded(spark, tmp_path):
+    own, other = scratch_path(spark, "x"), tmp_path / "kept"
+    spark.range(1).write.parquet(own)
+    spark.range(1).write.parquet(str(other))
+    discard(spark, own)
+    assert not path_exists(spark, own)
+    with pytest.raises(ValueError):
+        discard(spark, str(other))
+    assert path_exists(spark, str(other))
+
+
+def test_shuffle_width_follows_the_input(spark, tmp_path):
+    spark.range(100_000).repartition(1).write.parquet(str(tmp_path / "t"))
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert shuffle_width(spark, str(tmp_path / "t")) == floor
+    assert shuffle_width(spark, str(tmp_path / "t"), bytes_per_task=1000) > 100
+    assert shuffle_width(spark, str(tmp_path / "t"), bytes_per_task=1000, ceiling=50) == 50
+
+
 def test_session_setting_is_put_back(spark):
     name = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
     before = spark.conf.get(name)
