@@ -42,6 +42,7 @@ class Layers:
     quarantine: str
     silver_ledger: str
     gold: str
+    metrics: str
 
     @classmethod
     def under(cls, root: str) -> Layers:
@@ -54,6 +55,7 @@ class Layers:
             quarantine=f"{root}/silver/quarantine",
             silver_ledger=f"{root}/silver/ledger",
             gold=f"{root}/gold",
+            metrics=f"{root}/metrics",
         )
 
 
@@ -102,12 +104,14 @@ def run_silver(
     ingest_dates: Iterable[str] | None = None,
     rules: RuleSet | None = None,
     cluster_by: Sequence[str] = (),
+    cache_flat: bool = False,
 ) -> RunMetrics:
     """Flatten, validate, quarantine and merge the landed batches not taken in before.
 
     One pass writes the rejected rows and, as it goes, counts rows and broken rules; it
     ends in no shuffle, so no count is taken twice when a task is run again. The
-    other pass writes the good rows. Both read columnar landed files.
+    other pass writes the good rows. Both read columnar landed files; `cache_flat` keeps
+    the flat rows between the two, for batches that fit on the executors.
     """
     rules = rules or telemetry_rules()
     landed = read_landed(spark, layers.bronze, ingest_dates)
@@ -123,6 +127,8 @@ def run_silver(
     batches = spark.createDataFrame([(name,) for name in names], "file_path STRING")
     landed = landed.filter(batch.isin(names))
     flat = flatten(landed)
+    if cache_flat:
+        flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
 
     seen = Observation()
     with metrics.stage("quarantine") as stage:
@@ -140,6 +146,8 @@ def run_silver(
         ]
         with session_setting(spark, SHUFFLE_WIDTH, shuffle_width(spark, *folders)):
             stage.rows = merge_partitions(valid, layers.silver, cluster_by=cluster_by)
+    if cache_flat:
+        flat.unpersist()
     append_ledger(batches, layers.silver_ledger)
     return metrics
 
