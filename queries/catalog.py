@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from queries.telemetry_view import COLUMNS, TIE_BREAK, nested, table, telemetry
 from roadstrata.functions.times import calendar_between, observed_hours
@@ -13,10 +13,11 @@ from roadstrata.operators.rules import FAILED, split, telemetry_rules, validatio
 from roadstrata.operators.survivors import dedupe, latest_per_key
 from roadstrata.plans import dims as D
 from roadstrata.plans.facts import fact_traffic, traffic_rollup
-from roadstrata.plans.jobs import Layers, run_bronze
+from roadstrata.plans.jobs import Layers, run_bronze, run_gold, run_silver
 from roadstrata.schema import CORRUPT, SILVER_KEYS
 from roadstrata.sinks.bronze import land_bronze
 from roadstrata.sinks.gold import publish
+from roadstrata.sinks.metrics import RunMetrics
 from roadstrata.sinks.silver import merge_partitions, write_quarantine, write_silver
 from roadstrata.sources.files import append_ledger, list_inputs, pending_files, read_ledger
 from roadstrata.sources.telemetry import (
@@ -322,6 +323,46 @@ def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts
 
 
+# --- whole jobs ---
+
+
+def by_all_columns() -> list[Column]:
+    """Alerts are left out: they follow from the other columns."""
+    return [F.col(name).asc_nulls_first() for name in sorted(COLUMNS)]
+
+
+@stored_once("lake")
+def lake(spark: SparkSession, sf_dir: str) -> tuple[Layers, RunMetrics, RunMetrics]:
+    """The three jobs one after another, from JSON files to the star schema."""
+    layers = Layers.under(scratch_path(spark, "lake"))
+    run_bronze(spark, raw_files(spark, sf_dir), layers, "2024-01-01", multiline=False)
+    silver_run = run_silver(spark, layers, order=by_all_columns())
+    gold_run = run_gold(spark, layers, partition_fact=False, cache_silver=True)
+    return layers, silver_run, gold_run
+
+
+def job_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = lake(spark, sf_dir)[0]
+    return presented(read_silver(spark, layers.silver, columns=[*COLUMNS, "alerts"]))
+
+
+def job_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return presented(spark.read.parquet(f"{lake(spark, sf_dir)[0].gold}/fact_traffic"))
+
+
+def job_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = spark.read.parquet(f"{lake(spark, sf_dir)[0].gold}/fact_traffic_minute_agg")
+    return groups.withColumns({n: F.round(n, 6) for n in ("avg_speed", "avg_congestion")})
+
+
+def job_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the silver and gold jobs say they read, rejected and wrote."""
+    _, silver_run, gold_run = lake(spark, sf_dir)
+    counts = silver_run.to_frame(spark).unionByName(gold_run.to_frame(spark))
+    # The number of landed batches depends on nothing in the tables.
+    return counts.filter("stage <> 'batches'").select("stage", "rows")
+
+
 QUERIES: dict[str, Query] = {
     "flatten_nested": flatten_nested,
     "flatten_inferred": flatten_inferred,
@@ -353,4 +394,8 @@ QUERIES: dict[str, Query] = {
     "traffic_rollup": rollup("second"),
     "traffic_rollup_minute": rollup("minute"),
     "table_row_counts": table_row_counts,
+    "job_silver": job_silver,
+    "job_fact": job_fact,
+    "job_rollup": job_rollup,
+    "job_metrics": job_metrics,
 }

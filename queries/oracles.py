@@ -67,6 +67,13 @@ VEHICLE = f"""
     qualify row_number() over (partition by license_number order by "timestamp" desc, vehicle_id) = 1"""
 
 
+# The jobs read files, which hold no order numbers: there all columns settle a repeated key.
+JOB_C = f"""{V}, c as (
+    select * from v
+    qualify row_number() over (partition by vehicle_id, "timestamp"
+        order by {', '.join(f'"{name}" nulls first' for name in sorted(COLUMNS))}) = 1)"""
+
+
 def fact_sql(equals: str) -> str:
     def match(pairs: dict[str, str]) -> str:
         return " and ".join(f"{left} {equals} {right}" for left, right in pairs.items())
@@ -107,6 +114,7 @@ GOLD = (
     f"dim_weather as ({WEATHER}), dim_vehicle as ({VEHICLE})"
 )
 FACT = f"{GOLD}, fact as ({fact_sql('=')})"
+JOB_FACT = FACT.replace(C, JOB_C)
 
 
 def rollup_sql(time_sk: str) -> str:
@@ -139,6 +147,26 @@ COUNTS = " union all ".join(
     }.items()
 )
 
+JOB_STAGES = " union all ".join(
+    f"select '{stage}' as stage, count(*) as rows from {source}"
+    for stage, source in {
+        "quarantine": f"t where not ({ALL_RULES})",
+        "silver": "c",
+        "rows_total": "t",
+        "rows_valid": "v",
+        "rows_invalid": f"t where not ({ALL_RULES})",
+        **{f"rows_{name}": f"t where not ({rule})" for name, rule in RULES.items()},
+        "dim_time": "(select unnest(generate_series(timestamp '2024-01-01 00:00',"
+        " timestamp '2024-06-30 23:59', interval 1 minute)))",
+        "dim_owner": "dim_owner",
+        "dim_vehicle": "dim_vehicle",
+        "dim_location": "dim_location",
+        "dim_weather": "dim_weather",
+        "fact_traffic": "fact",
+        "fact_traffic_minute_agg": f"({rollup_sql('time_sk')})",
+    }.items()
+)
+
 CALENDAR = """
     select ts as "timestamp", cast(epoch(ts) as integer) as time_sk,
            strftime(ts, '%Y-%m-%d') as "date", cast(year(ts) as integer) as "year",
@@ -207,4 +235,8 @@ ORACLES: dict[str, str] = {
     "traffic_rollup": f"{FACT} {rollup_sql('time_sk')}",
     "traffic_rollup_minute": f"{FACT} {rollup_sql('cast(time_sk - time_sk % 60 as integer)')}",
     "table_row_counts": f"{FACT} {COUNTS}",
+    "job_silver": f"{JOB_C} select {FLAT} from c",
+    "job_fact": f"{JOB_FACT} select * from fact",
+    "job_rollup": f"{JOB_FACT} {rollup_sql('time_sk')}",
+    "job_metrics": f"{JOB_FACT} {JOB_STAGES}",
 }

@@ -46,8 +46,9 @@ def lookup_key(
         incomplete = reduce(lambda a, b: a | b, [value.isNull() for value in wanted.values()])
         bucket = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD_BUCKETS)) + 1
         spread, home = f"__{alias}_spread", f"__{alias}_home"
-        fact = fact.withColumn(spread, F.when(incomplete, bucket).otherwise(F.lit(0)))
-        members = members.withColumn(home, F.lit(0).cast("bigint"))
+        fact = fact.withColumn(spread, F.when(incomplete, bucket).otherwise(F.lit(0).cast("bigint")))
+        # Always 0, but computed: a literal would be folded out of the join keys.
+        members = members.withColumn(home, F.pmod(F.xxhash64(alias), F.lit(1)))
         equal.append(F.col(spread) == F.col(home))
     joined = fact.join(members, reduce(lambda a, b: a & b, equal), "left")
     private = [n for n in joined.columns if n.startswith(f"__{alias}_")]

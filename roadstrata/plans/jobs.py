@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from roadstrata.functions.keys import repeated_keys
 from roadstrata.operators.flatten import flatten
@@ -103,6 +103,7 @@ def run_silver(
     layers: Layers,
     ingest_dates: Iterable[str] | None = None,
     rules: RuleSet | None = None,
+    order: Sequence[Column | str] | None = None,
     cluster_by: Sequence[str] = (),
     cache_flat: bool = False,
 ) -> RunMetrics:
@@ -111,7 +112,8 @@ def run_silver(
     One pass writes the rejected rows and, as it goes, counts rows and broken rules; it
     ends in no shuffle, so no count is taken twice when a task is run again. The
     other pass writes the good rows. Both read columnar landed files; `cache_flat` keeps
-    the flat rows between the two, for batches that fit on the executors.
+    the flat rows between the two, for batches that fit on the executors. `order` says
+    which row of a repeated key survives (default: by content).
     """
     rules = rules or telemetry_rules()
     landed = read_landed(spark, layers.bronze, ingest_dates)
@@ -145,7 +147,9 @@ def run_silver(
             "{}/ingest_date={}/batch={}".format(layers.bronze, *name.split("/")) for name in names
         ]
         with session_setting(spark, SHUFFLE_WIDTH, shuffle_width(spark, *folders)):
-            stage.rows = merge_partitions(valid, layers.silver, cluster_by=cluster_by)
+            stage.rows = merge_partitions(
+                valid, layers.silver, order=order, cluster_by=cluster_by
+            )
     if cache_flat:
         flat.unpersist()
     append_ledger(batches, layers.silver_ledger)

@@ -169,6 +169,21 @@ def test_hot_and_null_keys_are_split_in_a_shuffled_join(spark, settings):
     assert tuple(found) == (2 * n // 3, 0)
 
 
+def test_null_keys_are_spread_without_help_from_aqe(spark, settings):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__enabled="false",
+        spark__sql__shuffle__partitions="8",
+    )
+    fact = spark.range(8000).select("id", F.when(F.col("id") < 0, F.lit("x")).alias("k"))
+    dim = spark.createDataFrame([("x", 1), (None, 2)], "k string, sk bigint")
+    joined = lookup_key(fact, dim, {"k": "k"}, "sk", spread_by=["id"])
+    assert "hashpartitioning(k" in plan_of(joined) and "__sk_spread" in plan_of(joined).split("hashpartitioning")[1]
+    tasks = Counter(r.t for r in joined.select(F.spark_partition_id().alias("t"), "sk").collect() if r.t >= 0)
+    assert len(tasks) == 8 and max(tasks.values()) < 2000
+    assert joined.filter("sk is not null").isEmpty() and joined.count() == 8000
+
+
 def test_derived_key_equals_lookup(spark, fact):
     members = fact.select("s", "d").distinct()
     dim = members.withColumn("sk", hash_key(["s", "d"]))

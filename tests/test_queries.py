@@ -15,21 +15,19 @@ def test_every_query_has_its_sql():
     assert set(driver.queries()) == set(driver.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
-def test_matches_sql(spark, sf_dir, duck, name):
-    df = driver.queries()[name](spark, sf_dir)
-    assert difference(df, duck, driver.oracle_sql()[name]) is None
+DUCK_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN",
+}
 
 
 @pytest.mark.parametrize("name", list(driver.queries()))
-def test_column_types_match_sql(spark, sf_dir, duck, name):
-    duck_names = {
-        "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
-        "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN",
-    }
+def test_matches_sql(spark, sf_dir, duck, name):
+    sql = driver.oracle_sql()[name]
     df = driver.queries()[name](spark, sf_dir)
-    sql_types = {r[0]: r[1] for r in duck.execute("describe " + driver.oracle_sql()[name]).fetchall()}
-    assert {c: duck_names[t] for c, t in df.dtypes} == sql_types
+    assert difference(df, duck, sql) is None
+    sql_types = {row[0]: row[1] for row in duck.execute("describe " + sql).fetchall()}
+    assert {column: DUCK_TYPES[kind] for column, kind in df.dtypes} == sql_types
 
 
 def test_entry_runs(spark):
