@@ -65,11 +65,10 @@ def stored_partitions(batch: DataFrame, path: str, partition: str = "date") -> D
             raise
         return None
     days = batch.select(partition).distinct()
-    low, high, n = days.agg(F.min(partition), F.max(partition), F.count(partition)).first()
-    if n == 0:
-        return stored.limit(0)
-    if n <= MAX_LISTED_DATES:
-        return stored.filter(F.col(partition).isin([row[0] for row in days.collect()]))
+    listed = [row[0] for row in days.limit(MAX_LISTED_DATES + 1).collect()]
+    if len(listed) <= MAX_LISTED_DATES:
+        return stored.filter(F.col(partition).isin(listed)) if listed else stored.limit(0)
+    low, high = days.agg(F.min(partition), F.max(partition)).first()
     return stored.filter(F.col(partition).between(low, high)).join(days, partition, "left_semi")
 
 

@@ -283,6 +283,18 @@ def test_merge_keeps_rows_of_a_partly_covered_day(spark, tmp_path):
     assert sorted(r.vehicle_id for r in got.collect()) == ["a", "b", "c", "n", "z"]
 
 
+def test_merge_over_very_many_days(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("roadstrata.sinks.silver.MAX_LISTED_DATES", 2)
+    schema = "vehicle_id string, timestamp int, date string"
+    out = str(tmp_path / "t")
+    stored = [(v, d, f"d{d}") for v in "ab" for d in (1, 2, 3, 4, 5)]
+    merge_partitions(spark.createDataFrame(stored, schema), out)
+    late = [("a", 1, "d1"), ("c", 3, "d3"), ("c", 5, "d5")]
+    assert merge_partitions(spark.createDataFrame(late, schema), out) == 8
+    got = sorted(map(tuple, spark.read.parquet(out).select("vehicle_id", "timestamp", "date").collect()))
+    assert got == sorted({*stored, *late})
+
+
 def test_silver_overwrite_touches_only_its_days(spark, tmp_path):
     out = str(tmp_path / "t")
     df = lambda *r: spark.createDataFrame(list(r), "v int, date string")
