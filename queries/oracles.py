@@ -33,8 +33,8 @@ FAILED_COUNT = " + ".join(f"(case when not ({rule}) then 1 else 0 end)" for rule
 
 def key_sql(*parts: str) -> str:
     texts = [f"cast({part} as varchar)" for part in parts]
-    encoded = " || ".join(f"coalesce(length({t}) || ':' || {t}, 'N')" for t in texts)
-    return f"cast('0x' || substr(md5({encoded}), 1, 15) as bigint)"
+    lengths = [f"cast(coalesce(length({text}), -1) as varchar)" for text in texts]
+    return f"cast('0x' || substr(md5(concat_ws('|', {', '.join(lengths + texts)})), 1, 15) as bigint)"
 
 
 T = f"with t as ({telemetry_sql()})"

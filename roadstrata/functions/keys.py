@@ -25,17 +25,13 @@ def same_zero(value: Column | str) -> Column:
 def hash_key(parts: Sequence[Column | str]) -> Column:
     """BIGINT key computed from the business key alone: no shuffle, no state, same on every run.
 
-    Each part is written as `<length>:<text>`, or `N` for null, so different
-    part lists never give the same text.
+    The text hashed is the length of every part, -1 for null, and then the parts, so
+    different part lists never give the same text.
     """
-    encoded = []
-    for part in parts:
-        text = as_column(part).cast("string")
-        encoded.append(
-            F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("N"))
-        )
-    digest = F.substring(F.md5(F.concat(*encoded)), 1, KEY_HEX_DIGITS)
-    return F.conv(digest, 16, 10).cast("bigint")
+    texts = [as_column(part).cast("string") for part in parts]
+    lengths = [F.coalesce(F.length(text), F.lit(-1)).cast("string") for text in texts]
+    digest = F.md5(F.concat_ws("|", *lengths, *texts))
+    return F.conv(F.substring(digest, 1, KEY_HEX_DIGITS), 16, 10).cast("bigint")
 
 
 def derived_key(parts: Sequence[Column | str], null_safe: bool = False) -> Column:

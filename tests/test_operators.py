@@ -67,7 +67,7 @@ def test_hot_key_is_cut_down_before_the_shuffle(spark):
 
 def test_hash_key_parts_do_not_run_together(spark):
     df = spark.createDataFrame(
-        [("a", "b"), ("ab", ""), ("", "ab"), (None, "ab"), ("ab", None), ("N", "b"), (None, "b"), (None, None), ("1:a", "b")],
+        [("a", "b"), ("ab", ""), ("", "ab"), (None, "ab"), ("ab", None), ("N", "b"), (None, "b"), (None, None), ("-1", "b"), ("|", ""), ("", "|"), ("a|b", None), ("a", "b|")],
         "x string, y string",
     )
     keys = [r[0] for r in df.select(hash_key(["x", "y"])).collect()]
