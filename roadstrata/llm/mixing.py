@@ -106,11 +106,14 @@ def rounded_copies(units: DataFrame, targets: DataFrame, seed: int = 17) -> Data
 
 
 def _fold(rows: DataFrame, seed: int) -> DataFrame:
-    """(source, node, open, closed): each node's documents pivoted one after the other, in the order of their draws."""
-    item = "struct<draw:bigint,size:bigint,share:double,row:{row}>"
+    """(source, node, open, closed): each node's documents pivoted one after the other, longest first.
+
+    A pivot can close a long document only by many short ones, so these come later, and what stays open is short.
+    """
+    item = "struct<less:bigint,draw:bigint,size:bigint,share:double,row:{row}>"
     row = rows.schema["row"].dataType.simpleString()
     item = item.format(row=row)
-    items = F.sort_array(F.collect_list(F.struct("draw", "size", "share", "row")))
+    items = F.sort_array(F.collect_list(F.struct((-F.col("size")).alias("less"), "draw", "size", "share", "row")))
     nodes = rows.groupBy("source", "node").agg(items.alias("items"))
     # x is the open document and y the next one. up: what x can gain, down: what it can lose.
     step = f"""
@@ -129,11 +132,11 @@ def _fold(rows: DataFrame, seed: int) -> DataFrame:
               r -> if(least(r.p, 1 - r.p) <= least(r.q, 1 - r.q),
                 struct(
                   if(least(r.q, 1 - r.q) < 1e-9, cast(null as {item}),
-                     named_struct('draw', y.draw, 'size', y.size, 'share', r.q, 'row', y.row)) as open,
+                     named_struct('less', y.less, 'draw', y.draw, 'size', y.size, 'share', r.q, 'row', y.row)) as open,
                   concat(acc.closed, array(struct(s.x.row as row, cast(round(r.p) as int) as bit)),
                     if(least(r.q, 1 - r.q) < 1e-9, array(struct(y.row as row, cast(round(r.q) as int) as bit)), array())) as closed),
                 struct(
-                  named_struct('draw', s.x.draw, 'size', s.x.size, 'share', r.p, 'row', s.x.row) as open,
+                  named_struct('less', s.x.less, 'draw', s.x.draw, 'size', s.x.size, 'share', r.p, 'row', s.x.row) as open,
                   concat(acc.closed, array(struct(y.row as row, cast(round(r.q) as int) as bit))) as closed))), 1)), 1)))
     """
     return nodes.select("source", "node", F.expr(step).alias("f")).select("source", "node", "f.open", "f.closed")
