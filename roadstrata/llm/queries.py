@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadstrata.llm import bpe, line_dedup, mixing, sharding
+from roadstrata.llm import bpe, line_dedup, mixing, sharding, simhash
 from roadstrata.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op2_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_slots(documents(spark, sf_dir))
 
 
+def op4_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(documents(spark, sf_dir))
+
+
 def op7_word_shuffle_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_report(documents(spark, sf_dir))
 
@@ -28,4 +32,4 @@ def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_jump_shards, op7_word_shuffle_bpe, op8_pivotal_mix, op9_line_runs)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_jump_shards, op4_gray_simhash, op7_word_shuffle_bpe, op8_pivotal_mix, op9_line_runs)}
