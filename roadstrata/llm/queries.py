@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadstrata.llm import bpe, line_dedup, mixing, sharding, simhash
+from roadstrata.llm import bpe, lang_id, line_dedup, mixing, sharding, simhash
 from roadstrata.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,4 +32,8 @@ def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_jump_shards, op4_gray_simhash, op7_word_shuffle_bpe, op8_pivotal_mix, op9_line_runs)}
+def op10_marginal_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.language_report(documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_jump_shards, op4_gray_simhash, op7_word_shuffle_bpe, op8_pivotal_mix, op9_line_runs, op10_marginal_unigrams)}
