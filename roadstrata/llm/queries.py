@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadstrata.llm import bpe, lang_id, line_dedup, mixing, sharding, simhash
+from roadstrata.llm import bpe, lang_id, line_dedup, mixing, sharding, simhash, token_counts
 from roadstrata.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op4_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(documents(spark, sf_dir))
 
 
+def op6_rank_merging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_report(documents(spark, sf_dir))
+
+
 def op7_word_shuffle_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_report(documents(spark, sf_dir))
 
@@ -36,4 +40,15 @@ def op10_marginal_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.language_report(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_jump_shards, op4_gray_simhash, op7_word_shuffle_bpe, op8_pivotal_mix, op9_line_runs, op10_marginal_unigrams)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op2_jump_shards,
+        op4_gray_simhash,
+        op6_rank_merging,
+        op7_word_shuffle_bpe,
+        op8_pivotal_mix,
+        op9_line_runs,
+        op10_marginal_unigrams,
+    )
+}
