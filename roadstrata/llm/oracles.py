@@ -23,4 +23,48 @@ select doc_id, count(*)::bigint as n_lines, (count(*) filter (where gone))::bigi
 from marked group by doc_id
 """
 
-ORACLES: dict[str, str] = {"op9_line_runs": OP9_LINE_RUNS}
+OP1_GRAPH_NEAR_VECTORS = """
+with recursive good as (
+  select vec_id, label, embedding::double[] as v from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as (
+  select a.vec_id as a, b.vec_id as b from good a join good b
+    on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_cosine_similarity(a.v, b.v) >= 0.93
+), reach(a, b) as (
+  select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a
+), least as (
+  select a, min(b) as b from reach group by a
+), counts as (
+  select a, count(*) as n from links group by a
+)
+select e.vec_id, coalesce(c.n, 0)::bigint as n_links,
+  coalesce(least(e.vec_id, l.b), e.vec_id) as component_id,
+  e.vec_id = coalesce(least(e.vec_id, l.b), e.vec_id) as kept
+from embeddings e left join counts c on c.a = e.vec_id left join least l on l.a = e.vec_id
+"""
+
+OP3_GRAPH_SEARCH = """
+with good as (
+  select vec_id, embedding::double[] as v from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v) as score
+  from good q join good c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+  where q.vec_id % 20 = 0
+), ranked as (
+  select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
+  from scored
+)
+select * from ranked where rank <= 20
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_graph_near_vectors": OP1_GRAPH_NEAR_VECTORS,
+    "op3_graph_search": OP3_GRAPH_SEARCH,
+    "op9_line_runs": OP9_LINE_RUNS,
+}

@@ -6,16 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadstrata.llm import bpe, lang_id, line_dedup, mixing, sharding, simhash, token_counts
-from roadstrata.llm.common import documents
+from roadstrata.llm import bpe, lang_id, line_dedup, mixing, sharding, simhash, token_counts, vectors
+from roadstrata.llm.common import documents, embeddings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_graph_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(embeddings(spark, sf_dir))
+
+
 def op2_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_slots(documents(spark, sf_dir))
 
 
+def op3_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest_vectors(embeddings(spark, sf_dir))
+
+
 def op4_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(documents(spark, sf_dir))
 
@@ -43,7 +51,9 @@ def op10_marginal_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_graph_near_vectors,
         op2_jump_shards,
+        op3_graph_search,
         op4_gray_simhash,
         op6_rank_merging,
         op7_word_shuffle_bpe,
