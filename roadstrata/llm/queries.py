@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadstrata.llm import bpe, lang_id, line_dedup, mixing, sharding, simhash, token_counts, vectors
+from roadstrata.llm import bpe, lang_id, licenses, line_dedup, mixing, sharding, simhash, token_counts, vectors
 from roadstrata.llm.common import documents, embeddings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op4_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(documents(spark, sf_dir))
 
 
+def op5_signature_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(documents(spark, sf_dir))
+
+
 def op6_rank_merging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_report(documents(spark, sf_dir))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Query] = {
         op2_jump_shards,
         op3_graph_search,
         op4_gray_simhash,
+        op5_signature_rules,
         op6_rank_merging,
         op7_word_shuffle_bpe,
         op8_pivotal_mix,
