@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, functions as F
 
 from roadstrata.functions.keys import dense_key
-from roadstrata.llm.common import stored, uniform
+from roadstrata.llm.common import stored, uniform, unused_name
 
 #: A source takes at most so many times its own words.
 MOST = 3
@@ -169,8 +169,11 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     Equal rows are gathered and counted before anything is joined; their copies add up.
     """
     columns = docs.columns
-    distinct = docs.groupBy(*columns).agg(F.count("*").alias("mix_rows"))
-    keyed = distinct.select(F.xxhash64(F.lit(3), *columns).alias("mix_key"), F.struct(*columns).alias("mix_row"), "mix_rows")
+    counted = unused_name(docs, "mix_rows")
+    distinct = docs.groupBy(*columns).agg(F.count("*").alias(counted))
+    keyed = distinct.select(
+        F.xxhash64(F.lit(3), *columns).alias("mix_key"), F.struct(*columns).alias("mix_row"), F.col(counted).alias("mix_rows")
+    )
     keyed = stored(keyed, "rows")
     units = keyed.select(
         "mix_key", F.col("mix_row.doc_id").alias("doc_id"), F.col("mix_row.source").cast("string").alias("source"),
