@@ -32,8 +32,10 @@ from roadstrata.llm.common import shared_bytes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 BLOCK_CHARS = 12 << 20
-#: Input bytes that one bucket of the word shuffle stands for.
-BYTES_PER_BUCKET = 24 << 20
+#: Input bytes that one bucket of the word shuffle stands for: some tenth of it are distinct words of their blocks.
+BYTES_PER_BUCKET = 1 << 30
+#: Spark's estimate for rows of unknown size is far above this.
+UNKNOWN_SIZE = 1 << 60
 #: Distinct words a task remembers; beyond it, it starts anew and may encode a word once more.
 REMEMBERED = 2_000_000
 #: Tokens gathered at a time.
@@ -272,11 +274,14 @@ def assemble(ranks_file, with_ids: bool):
 
 
 def bucket_count(docs: DataFrame) -> int:
-    """One bucket per BYTES_PER_BUCKET that Spark expects to read, and two for each running task at least."""
-    expected = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """One bucket per BYTES_PER_BUCKET of input, and at least as many as the session gives a shuffle.
+
+    Rows that do not come from files have no known size: then the session's number holds.
+    """
     spark = docs.sparkSession
     least = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return max(least, min(expected // BYTES_PER_BUCKET, 1 << 20))
+    expected = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(least, expected // BYTES_PER_BUCKET) if expected < UNKNOWN_SIZE else least
 
 
 def bpe_report(docs: DataFrame, vocabulary: str | None = None, with_ids: bool = False) -> DataFrame:
