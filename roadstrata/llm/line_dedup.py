@@ -204,7 +204,7 @@ def drop_repeated_lines(docs: DataFrame, batches: int = BATCHES, min_documents:
         pairs = zip(texts, lost, strict=True)
         return pd.Series([kept_lines(t, None if x is None else list(x))[2].decode() for t, x in pairs], dtype=object)
 
-    text = F.when(F.col(name).isNull(), F.col("text")).otherwise(rest("text", name))
+    text = F.when(F.col(name).isNull() | F.col("text").isNull(), F.col("text")).otherwise(rest("text", name))
     out = joined.withColumn("text", text).drop(name)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
