@@ -88,10 +88,17 @@ def test_nearest_vectors(spark, small):
             found = [(-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in usable if j != i and len(v) == len(q)]
             want[i] = [(n + 1, j, -s) for n, (s, j) in enumerate(sorted(found)[:20])]
     assert set(got) == {k for k, v in want.items() if v}
+    hits = tried = 0
     for i, found in got.items():
         found.sort()
-        assert [(n, j) for n, j, _ in found] == [(n, j) for n, j, _ in want[i]]
-        assert np.allclose([s for *_, s in found], [s for *_, s in want[i]], rtol=1e-12)
+        assert [n for n, *_ in found] == [n for n, *_ in want[i]]
+        score = {j: sum(a * b for a, b in zip(q, v, strict=True)) for k, q in usable if k == i for j, v in usable if len(v) == len(q)}
+        assert np.allclose([s for *_, s in found], [score[j] for _, j, _ in found], rtol=1e-12)
+        assert [(-s, j) for _, j, s in found] == sorted((-s, j) for _, j, s in found)
+        tried += len(found)
+        hits += len({j for _, j, _ in found} & {j for _, j, _ in want[i]})
+    # Shards of one scanned layer are exact; a graph finds what the audit asks for at least.
+    assert hits == tried if small else hits >= 0.97 * tried
 
 
 def test_empty_tables(spark):
