@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from queries.telemetry_view import COLUMNS, TIE_BREAK, nested, table, telemetry
 from roadstrata.functions.times import calendar_between, observed_hours
@@ -19,11 +21,20 @@ from roadstrata.sinks.bronze import land_bronze
 from roadstrata.sinks.gold import publish
 from roadstrata.sinks.metrics import RunMetrics
 from roadstrata.sinks.silver import merge_partitions, write_quarantine, write_silver
-from roadstrata.sources.files import append_ledger, list_inputs, pending_files, read_ledger
+from roadstrata.sources.files import (
+    append_ledger,
+    batch_id,
+    declare_intent,
+    intents,
+    list_inputs,
+    pending_files,
+    read_ledger,
+)
 from roadstrata.sources.telemetry import (
     loaded_dates,
     read_inferred,
     read_landed,
+    read_records,
     read_silver,
     read_telemetry,
 )
@@ -127,6 +138,19 @@ def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presented(flatten(raw))
 
 
+def flatten_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records as array documents with a record per line."""
+    path = scratch_path(spark, "documents")
+    record = F.to_json(F.struct("*"))
+    lines = nested(telemetry(spark, sf_dir)).select(record.alias("line"))
+    # Some hundred records to a document, whatever the size of the tables.
+    documents = lines.groupBy(F.pmod(F.xxhash64("line"), F.lit(max(1, lines.count() // 500)))).agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list("line"), ",\n"), F.lit("\n]")).alias("value")
+    )
+    documents.select("value").write.text(path)
+    return presented(flatten(read_records(spark, path)))
+
+
 def flatten_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places and owners under a schema found in the data rather than declared."""
     raw = read_inferred(spark, raw_files(spark, sf_dir), multiline=False)
@@ -164,9 +188,30 @@ def ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, damaged_files(spark, sf_dir), layers, "2024-01-01", multiline=False, pattern="*.txt"
     )
     errors = F.regexp_extract("error_msg", "^[0-9]+", 0).try_cast("bigint")
-    return spark.read.parquet(layers.manifest).agg(
+    files = list_inputs(spark, damaged_files(spark, sf_dir), "*.txt").select(
+        F.col("file_name").alias("listed_name"), F.col("size_bytes").alias("listed_bytes")
+    )
+    rows = spark.read.parquet(layers.manifest)
+    folder = F.concat_ws("/", F.lit(layers.bronze), F.concat(F.lit("ingest_date="), F.col("ingest_date").cast("string")))
+    path = F.concat_ws("/", folder, F.concat(F.lit("batch="), "batch"), "file_name")
+    joined = rows.join(files, F.col("file_name") == F.col("listed_name"), "full")
+    return joined.agg(
         F.sum(errors).alias("malformed_records"),
         F.count_if((F.col("status") == "failed") != errors.isNotNull()).alias("wrong_status"),
+        F.count_if(~F.col("size_bytes").eqNullSafe(F.col("listed_bytes"))).alias("wrong_size"),
+        F.count_if(~F.col("s3_path").eqNullSafe(path)).alias("wrong_path"),
+    )
+
+
+def bronze_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field that the schema does not know comes back from the landed records."""
+    root = scratch_path(spark, "payload")
+    nested(telemetry(spark, sf_dir), "passenger_count * 2 as new_sensor").write.json(f"{root}/in")
+    layers = Layers.under(f"{root}/lake")
+    run_bronze(spark, f"{root}/in", layers, "2024-01-01", record_per_line=True)
+    sensor = F.get_json_object("payload", "$.new_sensor").cast("bigint")
+    return read_landed(spark, layers.bronze).groupBy(sensor.alias("new_sensor")).agg(
+        F.count("*").alias("records"), F.count(CORRUPT).alias("malformed")
     )
 
 
@@ -240,13 +285,18 @@ def silver_by_date(spark: SparkSession, sf_dir: str) -> str:
 
 
 def silver_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loaded_dates(read_silver(spark, silver_by_date(spark, sf_dir)))
+    return loaded_dates(spark, silver_by_date(spark, sf_dir))
 
 
 def cluster_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = read_silver(spark, silver_by_date(spark, sf_dir))
-    return stored.groupBy("date").agg(
-        F.count("*").alias("rows"), F.max("timestamp").cast("timestamp_ntz").alias("latest")
+    place = F.struct("road_district", "timestamp")
+    in_file = Window.partitionBy("file").orderBy("row")
+    rows = stored.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return rows.withColumn("before", F.lag(place).over(in_file)).groupBy("date").agg(
+        F.count("*").alias("rows"),
+        F.max("timestamp").cast("timestamp_ntz").alias("latest"),
+        F.count_if(F.col("before") > place).alias("out_of_order"),
     )
 
 
@@ -260,6 +310,18 @@ def silver_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presented(read_silver(spark, path, columns=[*COLUMNS, "alerts"]))
 
 
+def silver_merge_null_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As silver_merge, with a third of all readings in the partition of null, and the first batch once more."""
+    path = scratch_path(spark, "null-days")
+    month = F.when(F.dayofmonth("timestamp") > 10, F.date_format("timestamp", "yyyyMM"))
+    good = valid(spark, sf_dir).withColumn("month", month)
+    for flags in (["A", "N"], ["N", "R"], ["A", "N"]):
+        batch = materialize(good.filter(F.col("weather_condition").isin(flags)), "batch")
+        merge_partitions(batch, path, order=TIE_BREAK, partition="month")
+    stored = read_silver(spark, path, columns=[*COLUMNS, "alerts", "month"])
+    return presented(stored.withColumn("month", F.col("month").cast("string")))
+
+
 # --- gold ---
 
 
@@ -363,12 +425,46 @@ def job_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.filter("stage <> 'batches'").select("stage", "rows")
 
 
+def job_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both jobs lose their ledgers once, with a file more before the next run: nothing is doubled or lost."""
+    root = scratch_path(spark, "rerun")
+    layers = Layers.under(f"{root}/lake")
+    records = nested(telemetry(spark, sf_dir))
+    returned = F.col("weather_condition.condition") == "R"
+    records.filter(returned).write.json(f"{root}/in/first")
+    # Landed, but the driver was lost before the ledger was written.
+    files = list_inputs(spark, f"{root}/in")
+    batch = batch_id(files)
+    declare_intent(files, f"{layers.bronze_ledger}-intents", "2024-01-01", batch)
+    land_bronze(read_records(spark, f"{root}/in/first"), layers.bronze, "2024-01-01", batch)
+    run_silver(spark, layers, order=by_all_columns())
+    records.filter(~returned).write.json(f"{root}/in/second")
+    run_bronze(spark, f"{root}/in", layers, "2024-01-02", record_per_line=True)
+    # The next silver run does not know of the first one either.
+    run_silver(spark, replace(layers, silver_ledger=f"{layers.silver_ledger}-new"), order=by_all_columns())
+    manifest = spark.read.parquet(layers.manifest)
+    repeated = manifest.groupBy("s3_path").count().filter("count > 1")
+    counts = {
+        "landed": spark.read.parquet(layers.bronze),
+        "quarantined": spark.read.json(layers.quarantine),
+        "silver": read_silver(spark, layers.silver, columns=["vehicle_id"]),
+        "manifest_repeats": repeated,
+        "open_batches": pending_files(intents(spark, f"{layers.bronze_ledger}-intents"), read_ledger(spark, layers.bronze_ledger)),
+    }
+    return reduce(
+        DataFrame.unionByName,
+        [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("what"), "rows") for name, df in counts.items()],
+    )
+
+
 QUERIES: dict[str, Query] = {
     "flatten_nested": flatten_nested,
+    "flatten_multiline": flatten_multiline,
     "flatten_inferred": flatten_inferred,
     "props_parse": props_parse,
     "bronze_landing": bronze_landing,
     "ingest_manifest": ingest_manifest,
+    "bronze_payload": bronze_payload,
     "pending_records": pending_records,
     "valid_rows": valid_rows,
     "invalid_rows": invalid_rows,
@@ -380,6 +476,7 @@ QUERIES: dict[str, Query] = {
     "loaded_dates": silver_dates,
     "cluster_layout": cluster_layout,
     "silver_merge": silver_merge,
+    "silver_merge_null_day": silver_merge_null_day,
     "dim_time": dim_time,
     "dim_time_hour": dim_time_hour,
     "dim_owner": dimension("dim_owner"),
@@ -398,4 +495,5 @@ QUERIES: dict[str, Query] = {
     "job_fact": job_fact,
     "job_rollup": job_rollup,
     "job_metrics": job_metrics,
+    "job_rerun": job_rerun,
 }

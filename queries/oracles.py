@@ -193,13 +193,16 @@ def widened(table: str, floats: tuple[str, ...]) -> str:
 
 ORACLES: dict[str, str] = {
     "flatten_nested": f"{T} select {FLAT} from t",
+    "flatten_multiline": f"{T} select {FLAT} from t",
     "flatten_inferred": f"{T} select owner_name, email, road_district, destination_district, rpm,"
     " is_running, temperature from t",
     "props_parse": "select event_id, cast(json_extract(props, '$.k') as bigint) as k from events",
     "bronze_landing": f"{T} select p_size = 50 as malformed, count(*) as records,"
     " count(case when p_size <> 50 then vehicle_id end) as with_vehicle from t group by 1",
-    "ingest_manifest": f"{T} select count(*) as malformed_records, cast(0 as bigint) as wrong_status"
-    " from t where p_size = 50",
+    "ingest_manifest": f"{T} select count(*) as malformed_records, cast(0 as bigint) as wrong_status,"
+    " cast(0 as bigint) as wrong_size, cast(0 as bigint) as wrong_path from t where p_size = 50",
+    "bronze_payload": f"{T} select passenger_count * 2 as new_sensor, count(*) as records,"
+    " cast(0 as bigint) as malformed from t group by 1",
     "pending_records": f"{T} select weather_condition, count(*) as records from t"
     " where weather_condition <> 'R' group by 1",
     "valid_rows": f"{V} select {FLAT} from v",
@@ -215,8 +218,11 @@ ORACLES: dict[str, str] = {
     "latest_order_per_customer": "select * from orders qualify row_number() over"
     " (partition by o_custkey order by o_orderdate desc, o_orderkey) = 1",
     "loaded_dates": f'{C} select distinct "date" from c',
-    "cluster_layout": f'{C} select "date", count(*) as rows, max("timestamp") as latest from c group by 1',
+    "cluster_layout": f'{C} select "date", count(*) as rows, max("timestamp") as latest,'
+    " cast(0 as bigint) as out_of_order from c group by 1",
     "silver_merge": f"{C} select {FLAT} from c",
+    "silver_merge_null_day": f"""{C} select {FLAT}, case when day("timestamp") > 10
+        then strftime("timestamp", '%Y%m') end as month from c""",
     "dim_time": CALENDAR,
     "dim_time_hour": f"{C} {HOURS}",
     "dim_owner": f"{GOLD} select * from dim_owner",
@@ -239,4 +245,8 @@ ORACLES: dict[str, str] = {
     "job_fact": f"{JOB_FACT} select * from fact",
     "job_rollup": f"{JOB_FACT} {rollup_sql('time_sk')}",
     "job_metrics": f"{JOB_FACT} {JOB_STAGES}",
+    "job_rerun": f"""{JOB_C} select 'landed' as what, count(*) as rows from t
+        union all select 'quarantined', count(*) from t where not ({ALL_RULES})
+        union all select 'silver', count(*) from c
+        union all select 'manifest_repeats', 0 union all select 'open_batches', 0""",
 }

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadstrata.workspace import SHUFFLE_WIDTH, shuffle_width
 
 TABLES = ("lineitem", "orders", "customer", "supplier", "part", "nation", "region")
 
@@ -80,7 +79,6 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     guessed when it comes to broadcasting; only the two big sides must be shuffled.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set(SHUFFLE_WIDTH, shuffle_width(spark, sf_dir))
     read = {name: table(spark, sf_dir, name) for name in TABLES}
     places = read["nation"].join(read["region"], F.col("n_regionkey") == F.col("r_regionkey"))
 

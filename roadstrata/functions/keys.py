@@ -66,7 +66,7 @@ def dense_key(members: DataFrame, order: Sequence[str], key: str) -> DataFrame:
         }
     )
     # One row per task of the range shuffle, however many members there are, so the
-    # running total in a single window and the broadcast below stay small.
+    # running total in a single window and the join below stay small.
     before = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy("__slice")
@@ -77,7 +77,7 @@ def dense_key(members: DataFrame, order: Sequence[str], key: str) -> DataFrame:
         )
     )
     return (
-        sliced.join(F.broadcast(offsets), "__slice")
+        sliced.join(offsets, "__slice")
         .withColumn(key, F.col("__offset") + F.col("__position"))
         .drop("__row", "__slice", "__position", "__offset")
     )

@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from roadstrata.functions.keys import as_column
 
-SPREAD_BUCKETS = 256
-
 
 def lookup_key(
     fact: DataFrame,
@@ -28,8 +26,8 @@ def lookup_key(
     joined under private names, so one dimension can be looked up in many roles.
 
     With plain equality a null part finds no member. All such rows would shuffle to
-    one task, so when `spread_by` names fact columns they get a bucket from them,
-    which no member has, as one more join key. Hot non-null keys are left to the
+    one task, so when `spread_by` names fact columns they get a hash of them,
+    which no member has, as one more join key: as many ways as there are rows. Hot non-null keys are left to the
     skew-join splitting of AQE, and the choice of broadcasting to measured sizes.
     """
     alias = alias or key
@@ -44,7 +42,7 @@ def lookup_key(
     ]
     if spread_by and not null_safe:
         incomplete = reduce(lambda a, b: a | b, [value.isNull() for value in wanted.values()])
-        bucket = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD_BUCKETS)) + 1
+        bucket = F.xxhash64(*spread_by)
         spread, home = f"__{alias}_spread", f"__{alias}_home"
         fact = fact.withColumn(spread, F.when(incomplete, bucket).otherwise(F.lit(0).cast("bigint")))
         # Always 0, but computed: a literal would be folded out of the join keys.

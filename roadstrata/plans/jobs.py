@@ -20,15 +20,19 @@ from roadstrata.sinks.bronze import land_bronze, manifest_rows, write_manifest
 from roadstrata.sinks.gold import JdbcTarget, publish
 from roadstrata.sinks.metrics import RunMetrics, counted
 from roadstrata.sinks.silver import merge_partitions, write_quarantine
+from roadstrata.schema import CORRUPT
 from roadstrata.sources.files import (
     append_ledger,
     batch_id,
+    declare_intent,
+    intents,
     list_inputs,
+    open_batches,
     pending_files,
     read_ledger,
 )
-from roadstrata.sources.telemetry import read_landed, read_silver, read_telemetry
-from roadstrata.workspace import SHUFFLE_WIDTH, session_setting, shuffle_width
+from roadstrata.sources.telemetry import SOURCE_FILE, read_records, read_silver, read_telemetry
+from roadstrata.workspace import SHUFFLE_WIDTH, bytes_under, partition_folders, session_setting, shuffle_width
 
 
 @dataclass(frozen=True)
@@ -66,38 +70,67 @@ def run_bronze(
     ingest_date: str | None = None,
     multiline: bool = True,
     pattern: str = "*.json",
+    record_per_line: bool = False,
 ) -> RunMetrics:
     """Land the files not landed before and record each in the manifest.
 
     No new files: nothing is written. A malformed file is recorded as failed and
-    does not stop the others. The ledger is written last, so an interrupted run
-    is repeated, and the same batch replaces what it had landed.
+    does not stop the others. Which files make up a batch, its name and its date are written down first
+    and its ledger last: a run after a crash finishes open batches under their own names, replacing what
+    they had written, before it takes in what has arrived since.
+
+    With `record_per_line` (JSON Lines, or arrays with an element per line) files are
+    split freely and each record keeps its text in `payload`; otherwise `multiline` documents are a task each.
     """
     ingest_date = ingest_date or dt.datetime.now(dt.timezone.utc).date().isoformat()
     metrics = RunMetrics(f"bronze-{ingest_date}")
-    listing = pending_files(
-        list_inputs(spark, source, pattern), read_ledger(spark, layers.bronze_ledger)
-    )
-    # The reader takes its paths on the driver, as every file scan does: one string per new file.
-    files = listing.collect()
-    metrics.record("listed_files", len(files))
-    if not files:
-        return metrics
-    listing = spark.createDataFrame(files, listing.schema)
-    batch = batch_id(listing)
-    with metrics.stage("land"):
-        raw = read_telemetry(spark, [f.read_path for f in files], multiline)
-        # JSON Lines already come in even splits; a document is one task until it is spread.
-        land_bronze(raw, layers.bronze, ingest_date, batch, rebalance=multiline)
-    with metrics.stage("manifest") as stage:
-        landed = read_landed(spark, layers.bronze, [ingest_date]).filter(F.col("batch") == batch)
-        target = f"{layers.bronze}/ingest_date={ingest_date}/batch={batch}"
-        write_manifest(manifest_rows(listing, landed, target, ingest_date), layers.manifest)
-        stage.rows = len(files)
-    append_ledger(listing, layers.bronze_ledger)
+    declared = f"{layers.bronze_ledger}-intents"
+
+    def ledger() -> DataFrame:
+        return read_ledger(spark, layers.bronze_ledger)
+
+    def land(day: str, batch: str) -> None:
+        listing = intents(spark, declared, batch).drop("ingest_date", "batch")
+        # The reader takes its paths on the driver, as every file scan does: one string per new file.
+        paths = [row.read_path for row in listing.select("read_path").toLocalIterator()]
+        with metrics.stage("land"):
+            if record_per_line:
+                raw = read_records(spark, paths)
+            else:
+                raw = read_telemetry(spark, paths, multiline)
+            # Lines already come in even splits; a document is one task until it is spread.
+            land_bronze(raw, layers.bronze, day, batch, rebalance=multiline and not record_per_line)
+        with metrics.stage("manifest") as stage:
+            target = f"{layers.bronze}/ingest_date={day}/batch={batch}"
+            landed = spark.read.parquet(target)
+            write_manifest(manifest_rows(listing, landed, target, day, batch), layers.manifest)
+            stage.rows = len(paths)
+        append_ledger(listing, layers.bronze_ledger)
+
+    unfinished = open_batches(spark, declared, ledger())
+    for day, batch in unfinished:
+        land(day, batch)
+    listing = pending_files(list_inputs(spark, source, pattern), ledger())
+    new = listing.count()
+    metrics.record("listed_files", new)
+    if new:
+        batch = batch_id(listing)
+        declare_intent(listing, declared, ingest_date, batch)
+        land(ingest_date, batch)
     return metrics
 
 
+def landed_batches(spark: SparkSession, bronze: str, ingest_dates: Iterable[str] | None = None) -> list[str]:
+    """ingest_date/batch of all landed batches, from folder names: no file is opened."""
+    wanted = None if ingest_dates is None else set(map(str, ingest_dates))
+    return [
+        f"{day}/{batch}"
+        for day, folder in partition_folders(spark, bronze, "ingest_date").items()
+        if wanted is None or day in wanted
+        for batch in partition_folders(spark, folder, "batch")
+    ]
+
+
 def run_silver(
     spark: SparkSession,
     layers: Layers,
@@ -106,20 +139,21 @@ def run_silver(
     order: Sequence[Column | str] | None = None,
     cluster_by: Sequence[str] = (),
     cache_flat: bool = False,
+    partition: str = "date",
 ) -> RunMetrics:
     """Flatten, validate, quarantine and merge the landed batches not taken in before.
 
     One pass writes the rejected rows and, as it goes, counts rows and broken rules; it
     ends in no shuffle, so no count is taken twice when a task is run again. The
-    other pass writes the good rows. Both read columnar landed files; `cache_flat` keeps
-    the flat rows between the two, for batches that fit on the executors. `order` says
-    which row of a repeated key survives (default: by content).
+    other passes find the days and write the good rows. All read columnar landed files of the new batches
+    only; `cache_flat` keeps the flat rows between them, for batches that fit on the executors. `order` says
+    which row of a repeated key survives (default: by content). Rejected rows keep their source file and,
+    if it could not be read, their text; each landed batch has its own quarantine folder.
     """
     rules = rules or telemetry_rules()
-    landed = read_landed(spark, layers.bronze, ingest_dates)
-    # A batch is known by its folder names, so finding the new ones reads no records.
-    batch = F.concat_ws("/", F.col("ingest_date").cast("string"), F.col("batch"))
-    listed = landed.select(batch.alias("file_path")).distinct()
+    listed = spark.createDataFrame(
+        [(name,) for name in landed_batches(spark, layers.bronze, ingest_dates)], "file_path STRING"
+    )
     new = pending_files(listed, read_ledger(spark, layers.silver_ledger)).collect()
     names = sorted(row.file_path for row in new)
     metrics = RunMetrics("silver-" + (names[-1] if names else "none"))
@@ -127,29 +161,28 @@ def run_silver(
     if not names:
         return metrics
     batches = spark.createDataFrame([(name,) for name in names], "file_path STRING")
-    landed = landed.filter(batch.isin(names))
-    flat = flatten(landed)
+    folders = ["{}/ingest_date={}/batch={}".format(layers.bronze, *name.split("/")) for name in names]
+    landed = spark.read.option("basePath", layers.bronze).parquet(*folders)
+    # Under another name: JSON readers take the usual one for their own.
+    flat = flatten(landed, keep=["ingest_date", "batch", SOURCE_FILE, F.col(CORRUPT).alias("unreadable")])
     if cache_flat:
         flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
 
     seen = Observation()
     with metrics.stage("quarantine") as stage:
         _, invalid = split(flat.observe(seen, *rules.totals()), rules)
-        write_quarantine(invalid, layers.quarantine, batch_id(batches))
+        write_quarantine(invalid, layers.quarantine, ("ingest_date", "batch"))
         counts = seen.get
         stage.rows = counts["invalid"]
     for name, rows in counts.items():
         metrics.record(f"rows_{name}", rows)
 
     with metrics.stage("silver") as stage:
-        valid, _ = split(flat, rules)
-        folders = [
-            "{}/ingest_date={}/batch={}".format(layers.bronze, *name.split("/")) for name in names
-        ]
-        with session_setting(spark, SHUFFLE_WIDTH, shuffle_width(spark, *folders)):
-            stage.rows = merge_partitions(
-                valid, layers.silver, order=order, cluster_by=cluster_by
-            )
+        valid, _ = split(flat.drop("ingest_date", "batch", SOURCE_FILE, "unreadable"), rules)
+        stage.rows = merge_partitions(
+            valid, layers.silver, order=order, partition=partition, cluster_by=cluster_by,
+            batch_bytes=bytes_under(spark, *folders),
+        )
     if cache_flat:
         flat.unpersist()
     append_ledger(batches, layers.silver_ledger)
@@ -190,7 +223,7 @@ def run_gold(
     if dense and (resolve == "derive" or dates is not None or fact_mode == "append"):
         raise ValueError("dense keys need resolve='join' and a fact rebuilt as a whole")
     metrics = RunMetrics("gold")
-    with session_setting(spark, SHUFFLE_WIDTH, shuffle_width(spark, layers.silver)):
+    with session_setting(spark, SHUFFLE_WIDTH, str(shuffle_width(spark, layers.silver))):
         silver = read_silver(spark, layers.silver, columns=GOLD_INPUT)
         if cache_silver:
             silver = silver.persist(StorageLevel.MEMORY_AND_DISK)

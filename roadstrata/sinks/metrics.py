@@ -20,11 +20,16 @@ class RunMetrics:
 
     @contextmanager
     def stage(self, name: str):
-        """Time a block; set `.rows` on the yielded object to record a row count."""
+        """Time a block; set `.rows` on the yielded object to record a row count. A block that raises leaves no count."""
         entry = _Entry()
         start = time.monotonic()
-        yield entry
-        self.record(name, entry.rows, time.monotonic() - start)
+        try:
+            yield entry
+        except BaseException:
+            entry.rows = None
+            raise
+        finally:
+            self.record(name, entry.rows, time.monotonic() - start)
 
     def record(self, name: str, rows: int | None, seconds: float = 0.0) -> None:
         self.entries.append((self.run_id, name, rows, float(seconds)))

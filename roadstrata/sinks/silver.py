@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadstrata.operators.layout import by_partition
@@ -12,14 +11,15 @@ from roadstrata.operators.survivors import dedupe
 from roadstrata.schema import SILVER_KEYS
 from roadstrata.sinks.metrics import counted
 from roadstrata.workspace import (
+    SHUFFLE_WIDTH,
     discard,
     materialize_at,
-    path_exists,
+    partition_folders,
     scratch_path,
     session_setting,
+    shuffle_width,
 )
 
-MAX_LISTED_DATES = 10_000
 SMALLEST_TASK = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 
 
@@ -48,28 +48,23 @@ def write_silver(
     return written.get["rows"]
 
 
-def stored_partitions(batch: DataFrame, path: str, partition: str = "date") -> DataFrame | None:
-    """Rows stored at `path` for the days in `batch`; None if nothing was written there yet.
+def stored_partitions(batch: DataFrame, path: str, partition: str = "date") -> tuple[DataFrame | None, list[str]]:
+    """Rows stored at `path` for the days in `batch`, a null day among them, and their folders.
 
-    The days are listed on the driver so that the scan prunes to them: one value
-    per stored folder, never one per row. A batch over very many days falls
-    back to their range plus a semi join.
+    One plan for every size: the batch's days, of which each has a folder to be written anyway, are
+    matched with the folders there, and only those are read. None if there is none.
     """
-    if not path_exists(batch.sparkSession, path):
-        return None
-    try:
-        stored = batch.sparkSession.read.parquet(path)
-    except AnalysisException as error:
-        # Written before, but never a row: there is no file to take a schema from.
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        return None
-    days = batch.select(partition).distinct()
-    listed = [row[0] for row in days.limit(MAX_LISTED_DATES + 1).collect()]
-    if len(listed) <= MAX_LISTED_DATES:
-        return stored.filter(F.col(partition).isin(listed)) if listed else stored.limit(0)
-    low, high = days.agg(F.min(partition), F.max(partition)).first()
-    return stored.filter(F.col(partition).between(low, high)).join(days, partition, "left_semi")
+    spark = batch.sparkSession
+    there = partition_folders(spark, path, partition)
+    if not there:
+        return None, []
+    days = batch.select(F.col(partition).cast("string").alias("day")).distinct()
+    folders = sorted(there[row.day] for row in days.toLocalIterator() if row.day in there)
+    if not folders:
+        return None, []
+    stored = spark.read.option("basePath", path).parquet(*folders)
+    kind = batch.schema[partition].dataType
+    return stored.withColumn(partition, F.col(partition).cast(kind)), folders
 
 
 def merge_partitions(
@@ -78,6 +73,7 @@ def merge_partitions(
     keys: Sequence[str] = SILVER_KEYS,
     order: Sequence[Column | str] | None = None,
     partition: str = "date",
+    batch_bytes: int = 0,
     **layout_options,
 ) -> int:
     """Add `batch` to the table so that running it again changes nothing; the rows written.
@@ -85,36 +81,42 @@ def merge_partitions(
     Days not stored yet are deduplicated and written straight in. For the others,
     stored plus new rows are deduplicated, written to the shared folder, and only
     then swapped in: a path is never overwritten while it is read, and rows of a
-    day that the batch holds only in part stay. `partition` must be determined
-    by `keys`. The batch is scanned twice, once for its days: pass a stored table.
+    day that the batch holds only in part stay, those of a null day too. `partition` must be
+    determined by `keys`. The batch is scanned twice, once for its days: pass a stored table.
+    The shuffle is sized by the stored folders it meets and `batch_bytes`.
     """
-    stored = stored_partitions(batch, path, partition)
-    if stored is None or stored.isEmpty():
-        return write_silver(dedupe(batch, keys, order), path, "append", partition, **layout_options)
-    rows = stored.unionByName(batch, allowMissingColumns=True)
-    staging = scratch_path(batch.sparkSession, "merged")
-    rebuilt = materialize_at(dedupe(rows, keys, order), staging)
-    written = write_silver(rebuilt, path, "overwrite", partition, **layout_options)
-    discard(batch.sparkSession, staging)
-    return written
+    spark = batch.sparkSession
+    stored, folders = stored_partitions(batch, path, partition)
+    width = shuffle_width(spark, *folders, more_bytes=batch_bytes)
+    with session_setting(spark, SHUFFLE_WIDTH, str(width)):
+        if stored is None:
+            return write_silver(dedupe(batch, keys, order), path, "append", partition, **layout_options)
+        rows = stored.unionByName(batch, allowMissingColumns=True)
+        staging = scratch_path(spark, "merged")
+        try:
+            rebuilt = materialize_at(dedupe(rows, keys, order), staging)
+            return write_silver(rebuilt, path, "overwrite", partition, **layout_options)
+        finally:
+            discard(spark, staging)
 
 
 def write_quarantine(
     invalid: DataFrame,
     path: str,
-    batch: str | None = None,
+    batch_columns: Sequence[str] = (),
     skip_empty: bool = False,
 ) -> bool:
     """Write rejected rows as JSON with the rules they broke; True if a write took place.
 
-    Without `batch` rows are appended. With it they go to their own folder, which a
-    rerun replaces. `skip_empty` first looks for one row, where a count would
-    scan them all; without it no extra job runs.
+    Without `batch_columns` rows are appended. With them each landed batch has a folder of its own,
+    which a rerun replaces, whatever other batches run with it. `skip_empty` first looks for
+    one row, where a count would scan them all; without it no extra job runs.
     """
     if skip_empty and invalid.isEmpty():
         return False
-    if batch is None:
+    if not batch_columns:
         invalid.write.mode("append").json(path)
     else:
-        invalid.write.mode("overwrite").json(f"{path}/batch={batch}")
+        writer = invalid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*batch_columns).json(path)
     return True

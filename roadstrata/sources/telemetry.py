@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadstrata.schema import CORRUPT, telemetry_schema
+from roadstrata.workspace import partition_folders
 
 SOURCE_FILE = "source_file"
 
@@ -21,8 +22,9 @@ def read_telemetry(
     """Raw JSON (a file, folders or globs) under the fixed schema, plus its source file.
 
     Bad leaves become null and, with `corrupt_column`, the text of a malformed
-    record is kept. `multiline` documents cannot be split: each file is one task,
-    streamed element by element. JSON Lines (`multiline=False`) splits freely.
+    record is kept. `multiline` documents cannot be split: each file is one task, and the text of
+    a malformed one is taken whole. Of large documents only those with a record per line should be read, by
+    read_records(). JSON Lines (`multiline=False`) splits freely.
     """
     reader = spark.read.schema(telemetry_schema(corrupt_column)).option("multiLine", multiline)
     if corrupt_column:
@@ -32,6 +34,29 @@ def read_telemetry(
     return reader.json(paths).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
 
 
+def read_records(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    name_filter: str | None = None,
+) -> DataFrame:
+    """Raw JSON with one record per line, alone or as the elements of an array, plus its text and source file.
+
+    Lines are read as text, so files split freely and no document is ever held. Brackets on lines of their own
+    or around a record and the comma after it are taken off. `payload` is the record's whole text, fields outside the schema
+    with it. A line that is no record is one malformed record; the rest of its file is read.
+    """
+    reader = spark.read
+    if name_filter:
+        reader = reader.option("pathGlobFilter", name_filter)
+    lines = reader.text(paths).select(F.trim("value").alias("line"), F.col("_metadata.file_path").alias(SOURCE_FILE))
+    # An opening bracket before a record, then a comma or closing bracket after it.
+    bare = F.regexp_replace(F.regexp_replace("line", r"^\[\s*(?=\{|$)", ""), r"(?:^|(?<=\}))\s*[,\]]+\s*$", "")
+    records = lines.select(bare.alias("payload"), SOURCE_FILE).filter("payload <> ''")
+    options = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
+    parsed = records.withColumn("record", F.from_json("payload", telemetry_schema(), options))
+    return parsed.select("record.*", "payload", SOURCE_FILE)
+
+
 def read_inferred(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -64,6 +89,7 @@ def read_silver(
     return df.select(*columns) if columns else df
 
 
-def loaded_dates(silver: DataFrame) -> DataFrame:
-    """Distinct days present in the flat table."""
-    return silver.select("date").distinct()
+def loaded_dates(spark: SparkSession, path: str) -> DataFrame:
+    """Days present in the flat table: the names of its folders, no file is opened."""
+    days = [(day,) for day in sorted(partition_folders(spark, path, "date"), key=str)]
+    return spark.createDataFrame(days, "date STRING").select(F.col("date").cast("date"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +17,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master.startswith("local-cluster") or not master.startswith("local"):
         raise RuntimeError(
             "set spark.checkpoint.dir to a folder that every executor can reach; "
             "intermediate tables must outlive the loss of an executor"
@@ -59,25 +61,47 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def bytes_under(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the files under `paths`: name folders of one run, not whole histories, each listing is a walk."""
+    total = 0
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        total += files.getContentSummary(target).getLength()
+    return total
+
+
 def shuffle_width(
-    spark: SparkSession,
-    *paths: str,
-    bytes_per_task: int = 64 << 20,
-    ceiling: int = 32_768,
+    spark: SparkSession, *paths: str, more_bytes: int = 0, bytes_per_task: int = 64 << 20
 ) -> int:
-    """How many partitions a shuffle of the files under `paths` should start with.
+    """How many partitions a shuffle of the files under `paths`, and `more_bytes`, should start with.
 
     AQE merges shuffle partitions that turn out small but cannot split ones that are all
     too big, so the starting number must follow the input: about `bytes_per_task`
     of compressed columnar data each, never under the session's own number.
     """
-    total = 0
-    for path in paths:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-        total += files.getContentSummary(target).getLength()
-    wanted = -(-total // bytes_per_task)
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(wanted, ceiling))
+    wanted = -(-(bytes_under(spark, *paths) + more_bytes) // bytes_per_task)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+
+
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_folders(spark: SparkSession, path: str, column: str) -> dict[str | None, str]:
+    """Value -> folder of the partitions of `column` right under `path`: a listing, no file is opened.
+
+    Null has the value None. A path that is not there, or holds no such folder, gives none.
+    """
+    if not path_exists(spark, path):
+        return {}
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = {}
+    for status in target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target):
+        name, _, value = status.getPath().getName().partition("=")
+        if status.isDirectory() and name == column:
+            value = unquote(value)
+            found[None if value == NO_VALUE else value] = f"{path.rstrip('/')}/{status.getPath().getName()}"
+    return found
 
 
 @contextmanager

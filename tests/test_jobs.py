@@ -14,8 +14,8 @@ from roadstrata.plans.dims import DIMENSIONS
 from roadstrata.plans.facts import fact_traffic, traffic_rollup
 from roadstrata.plans.jobs import Layers, run_bronze, run_gold, run_silver
 from roadstrata.schema import FLAT_COLUMNS, MANIFEST_COLUMNS
-from roadstrata.sinks.silver import merge_partitions, write_quarantine, write_silver
-from roadstrata.sources.telemetry import read_silver, read_telemetry
+from roadstrata.sinks.silver import merge_partitions, stored_partitions, write_quarantine, write_silver
+from roadstrata.sources.telemetry import loaded_dates, read_silver, read_telemetry
 from tests.records import record, write_document, write_lines
 
 
@@ -65,7 +65,7 @@ def test_bronze_without_files_writes_nothing(spark, tmp_path, layers):
 def test_bronze_lands_all_files_and_reports_the_bad_one(spark, inbox, layers):
     run_bronze(spark, str(inbox), layers, "2024-03-05")
     manifest = spark.read.parquet(layers.manifest)
-    assert sorted(manifest.columns) == sorted(MANIFEST_COLUMNS)
+    assert sorted(manifest.columns) == sorted([*MANIFEST_COLUMNS, "batch"])
     got = {r.file_name: r for r in manifest.collect()}
     assert set(got) == {"first.json", "bad.json"}
     assert got["first.json"].status == "success" and got["first.json"].error_msg is None
@@ -283,18 +283,86 @@ def test_merge_keeps_rows_of_a_partly_covered_day(spark, tmp_path):
     assert sorted(r.vehicle_id for r in got.collect()) == ["a", "b", "c", "n", "z"]
 
 
-def test_merge_over_very_many_days(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("roadstrata.sinks.silver.MAX_LISTED_DATES", 2)
+def test_merge_over_many_days_reads_their_folders_only(spark, tmp_path):
     schema = "vehicle_id string, timestamp int, date string"
     out = str(tmp_path / "t")
     stored = [(v, d, f"d{d}") for v in "ab" for d in (1, 2, 3, 4, 5)]
     merge_partitions(spark.createDataFrame(stored, schema), out)
     late = [("a", 1, "d1"), ("c", 3, "d3"), ("c", 5, "d5")]
-    assert merge_partitions(spark.createDataFrame(late, schema), out) == 8
+    batch = spark.createDataFrame(late, schema)
+    read = stored_partitions(batch, out)[0].select(F.input_file_name().alias("f")).distinct().collect()
+    assert {r.f.split("date=")[1].split("/")[0] for r in read} == {"d1", "d3", "d5"}
+    assert merge_partitions(batch, out) == 8
     got = sorted(map(tuple, spark.read.parquet(out).select("vehicle_id", "timestamp", "date").collect()))
     assert got == sorted({*stored, *late})
 
 
+def test_merge_keeps_rows_of_a_null_day(spark, tmp_path):
+    schema = "vehicle_id string, timestamp int, date string"
+    out = str(tmp_path / "t")
+    first, late = [("a", None, None), ("b", 1, "d1")], [("c", None, None), ("e", 2, "d1")]
+    for rows in (first, late, late, [("a", None, None)]):
+        merge_partitions(spark.createDataFrame(rows, schema), out)
+    got = spark.read.parquet(out).select("vehicle_id", "timestamp", "date").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, first + late))
+
+
+@pytest.mark.parametrize("crash_at", ["write_manifest", "append_ledger"])
+def test_bronze_repeats_safely_after_a_crash_and_a_new_file(spark, inbox, layers, monkeypatch, crash_at):
+    import roadstrata.plans.jobs as jobs
+
+    def crash(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, crash_at, crash)
+        with pytest.raises(RuntimeError):
+            run_bronze(spark, str(inbox), layers, "2024-03-05")
+    write_document(inbox / "second.json", SECOND)
+    run_bronze(spark, str(inbox), layers, "2024-03-06")
+    assert spark.read.parquet(layers.bronze).count() == len(FIRST) + 1 + len(SECOND)
+    manifest = spark.read.parquet(layers.manifest)
+    assert sorted(r.file_name for r in manifest.collect()) == ["bad.json", "first.json", "second.json"]
+    assert {str(r.ingest_date) for r in manifest.filter("file_name <> 'second.json'").collect()} == {"2024-03-05"}
+    assert run_bronze(spark, str(inbox), layers, "2024-03-07").rows() == {"listed_files": 0}
+
+
+def test_silver_repeats_safely_after_a_crash_and_a_new_batch(spark, inbox, layers, monkeypatch):
+    import roadstrata.plans.jobs as jobs
+
+    run_bronze(spark, str(inbox), layers, "2024-03-05")
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "append_ledger", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError):
+            run_silver(spark, layers)
+    before = spark.read.json(layers.quarantine).count()
+    write_document(inbox / "second.json", [day(1, vehicle_id=None)])
+    run_bronze(spark, str(inbox), layers, "2024-03-06")
+    run_silver(spark, layers)
+    rejected = spark.read.json(layers.quarantine)
+    assert rejected.count() == before + 1
+    # What could not be read can be traced: its text and its file.
+    lost = rejected.filter("unreadable is not null").first()
+    assert lost.source_file.endswith("bad.json") and lost.unreadable
+
+
+def test_batches_are_listed_without_opening_a_file(spark, inbox, layers):
+    run_bronze(spark, str(inbox), layers, "2024-03-05")
+    names = jobs_module().landed_batches(spark, layers.bronze)
+    assert len(names) == 1 and names[0].startswith("2024-03-05/b")
+    assert jobs_module().landed_batches(spark, layers.bronze, ["2024-03-06"]) == []
+    run_silver(spark, layers)
+    days = loaded_dates(spark, layers.silver)
+    assert "FileScan" not in days._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.date for r in days.collect()) == sorted({r.date for r in read_silver(spark, layers.silver).collect()})
+
+
+def jobs_module():
+    import roadstrata.plans.jobs as jobs
+
+    return jobs
+
+
 def test_silver_overwrite_touches_only_its_days(spark, tmp_path):
     out = str(tmp_path / "t")
     df = lambda *r: spark.createDataFrame(list(r), "v int, date string")

@@ -150,7 +150,7 @@ def test_shuffle_width_follows_the_input(spark, tmp_path):
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert shuffle_width(spark, str(tmp_path / "t")) == floor
     assert shuffle_width(spark, str(tmp_path / "t"), bytes_per_task=1000) > 100
-    assert shuffle_width(spark, str(tmp_path / "t"), bytes_per_task=1000, ceiling=50) == 50
+    assert shuffle_width(spark, more_bytes=10**9, bytes_per_task=1000) == 10**6
 
 
 def test_session_setting_is_put_back(spark):

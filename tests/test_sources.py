@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from roadstrata.operators.flatten import flatten
 from roadstrata.schema import CORRUPT, FLAT_COLUMNS
 from roadstrata.sources.files import append_ledger, batch_id, list_inputs, pending_files, read_ledger
-from roadstrata.sources.telemetry import read_inferred, read_silver, read_telemetry
+from roadstrata.sources.telemetry import read_inferred, read_records, read_silver, read_telemetry
 from tests.records import record, write_document, write_lines
 
 
@@ -139,3 +139,25 @@ def test_batch_id_ignores_order(spark):
     b = spark.createDataFrame([("y",), ("x",)], "file_path string")
     c = spark.createDataFrame([("x",)], "file_path string")
     assert batch_id(a) == batch_id(b) != batch_id(c)
+
+
+def test_records_per_line_in_any_bracketing(spark, tmp_path):
+    good = '{"vehicle_id": "%s", "owner": {"name": "n", "tier": 3}, "new_sensor": [1, 2]}'
+    (tmp_path / "a.json").write_text("[\n" + ",\n".join(good % v for v in "ab") + "\n]\n")
+    (tmp_path / "b.json").write_text(f"[{good % 'c'},\n  {good % 'd'} ,\n\n{good % 'e'}]")
+    (tmp_path / "c.json").write_text("\n".join(good % v for v in "fg"))
+    (tmp_path / "cut.json").write_text(f"[{good % 'h'},\n" + (good % "i")[:30])
+    got = read_records(spark, str(tmp_path)).collect()
+    assert sorted(r.vehicle_id for r in got if r._corrupt_record is None) == list("abcdefgh")
+    bad = [r for r in got if r._corrupt_record is not None]
+    assert [r.source_file.split("/")[-1] for r in bad] == ["cut.json"]
+    assert all(json.loads(r.payload)["owner"]["tier"] == 3 for r in got if r._corrupt_record is None)
+
+
+def test_a_document_of_lines_is_split(spark, tmp_path, settings):
+    line = '{"vehicle_id": "a", "speed_kmph": 1.0}'
+    (tmp_path / "big.json").write_text("[\n" + ",\n".join([line] * 20_000) + "\n]")
+    settings(spark__sql__files__maxPartitionBytes="65536")
+    df = read_records(spark, str(tmp_path))
+    assert df.rdd.getNumPartitions() > 4
+    assert df.filter("vehicle_id = 'a' and _corrupt_record is null").count() == df.count() == 20_000
