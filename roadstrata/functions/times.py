@@ -33,6 +33,7 @@ def floor_time_key(key: Column | str, grain: str) -> Column:
 def calendar_columns(ts: Column | str) -> dict[str, Column]:
     """Columns of the time dimension for one timestamp column."""
     ts = _col(ts)
+    # Names and formats of the calendar columns.
     return {
         "time_sk": time_key(ts),
         "date": F.date_format(ts, "yyyy-MM-dd"),

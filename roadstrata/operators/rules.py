@@ -64,6 +64,7 @@ def within(name: str, low: float, high: float) -> Column:
 def telemetry_rules() -> RuleSet:
     """The thirteen rules of the flat telemetry table."""
     speed = F.col("speed_kmph")
+    # The limits of the rules.
     return RuleSet(
         {
             "vehicle_id": present("vehicle_id"),

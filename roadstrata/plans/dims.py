@@ -57,10 +57,11 @@ def dim_vehicle(silver: DataFrame, dense: bool = False) -> DataFrame:
 
 
 def current_and_destination(silver: DataFrame) -> DataFrame:
-    """Current and destination places in one column set, repeats kept."""
-    current = silver.select(*[F.col(f"road_{c}").alias(c) for c in LOCATION_KEY])
-    destination = silver.select(*[F.col(f"destination_{c}").alias(c) for c in LOCATION_KEY])
-    return current.unionByName(destination)
+    """Current and destination places in one column set, repeats kept; one scan."""
+    roles = [
+        F.struct(*[F.col(f"{role}_{c}").alias(c) for c in LOCATION_KEY]) for role in ("road", "destination")
+    ]
+    return silver.select(F.inline(F.array(*roles)))
 
 
 def dim_location(
