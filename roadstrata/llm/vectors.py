@@ -19,12 +19,14 @@ from roadstrata.llm.hnsw import Graph
 
 #: Distinct vectors of a shard, and queries of a block, on average.
 SHARD, BLOCK = 16_384, 8_192
+#: The same for searches. Small shards are built faster and need narrower beams; queries meet more of them.
+SEARCH_SHARD, SEARCH_BLOCK = 8_192, 4_096
 COSINE = 0.93
 #: Beam to begin with; it is doubled until an audit passes.
 BEAM = 64
 #: Queries per task that an audit also compares with the whole shard, and the share of true results they must find.
 AUDITED = 256
-LINK_RECALL, SEARCH_RECALL = 0.999, 0.98
+LINK_RECALL, SEARCH_RECALL = 0.999, 0.95
 #: Single-precision similarities below the limit by less than this are looked at again in double precision.
 SLACK = 1e-4
 NEAREST = 20
@@ -328,7 +330,7 @@ def nearest_in_shard(shard: Shard, ids: np.ndarray, queries: np.ndarray, k: int)
     return [np.concatenate(x) for x in zip(*out, strict=True)]
 
 
-def nearest_vectors(vectors: DataFrame, k: int = NEAREST, step: int = QUERY_STEP, shard: int = 2 * SHARD, block: int = BLOCK // 2) -> DataFrame:
+def nearest_vectors(vectors: DataFrame, k: int = NEAREST, step: int = QUERY_STEP, shard: int = SEARCH_SHARD, block: int = SEARCH_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows, by inner product, of each row whose vec_id is divisible by `step`.
 
     Candidates are all rows but those of the query's own id; ties go to the smaller vec_id; with fewer candidates, all.
