@@ -183,8 +183,12 @@ class Graph:
         ids[~np.isfinite(sims)] = -1
         return ids, sims
 
-    def search(self, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """(places, similarities) of the `width` nearest found for each query; a graph of one layer is scanned."""
+    def search(self, queries: np.ndarray, width: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(places, similarities) of the `width` nearest found for each query; a graph of one layer is scanned.
+
+        `own`: the place of a query that is a node itself, else -1. It is entered there too: a cluster far from
+        all others may be out of reach of the upper layers, but not of its own members.
+        """
         if not self.layers:
             sims = queries @ self.vectors.T
             best = _top(sims, min(width, len(self.vectors)))
@@ -193,7 +197,11 @@ class Graph:
         step = max(1, STEP * 128 // max(128, width))
         for i in range(0, len(queries), step):
             some = queries[i : i + step]
-            parts.append(self._beam(some, self.layers[0], self._entries(some, 0, 16), width))
+            entries = self._entries(some, 0, 16)
+            if own is not None:
+                mine = own[i : i + step, None]
+                entries = np.concatenate([mine, np.where(entries == mine, -1, entries)], 1)
+            parts.append(self._beam(some, self.layers[0], entries, width))
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
     def arrays(self) -> tuple[bytes, bytes, list[int]]:

