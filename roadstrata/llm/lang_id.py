@@ -169,8 +169,12 @@ def _word_counts(docs: DataFrame, per_language: int) -> DataFrame:
     """(lang, part, n): the words of the sample, cut at PART characters."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(F.col("doc_id")) != 2))
     known = known.select(F.col("lang").cast("string").alias("lang"), "text", uniform(F.lit(11), F.col("doc_id")).alias("draw"))
-    sizes = known.groupBy("lang").agg(F.count("*").alias("labelled"))
-    sample = known.join(sizes, "lang").filter(F.col("draw") < F.lit(float(per_language)) / F.col("labelled"))
+    # One number per language; as a literal, so that no text is shuffled to meet it.
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not sizes:
+        return docs.sparkSession.createDataFrame([], "lang string, part string, n long")
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, per_language / n)])
+    sample = known.filter(F.col("draw") < share[F.col("lang")])
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
