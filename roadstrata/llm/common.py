@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roadstrata.workspace import materialize
@@ -40,3 +42,16 @@ def unused_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted = f"_{wanted}"
     return wanted
+
+
+def text_blocks(texts: list[str | None], size: int) -> Iterator[list[str | None]]:
+    """Runs of whole texts of about `size` characters together; a longer text is a run of its own."""
+    held, total = [], 0
+    for text in texts:
+        held.append(text)
+        total += len(text or "")
+        if total >= size:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held

@@ -20,7 +20,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from roadstrata.llm.common import stored, uniform, unused_name
+from roadstrata.llm.common import stored, text_blocks, uniform, unused_name
 
 VOCABULARY = "piece_bpe_32k.model"
 #: Labelled documents that are learned from, for each language, about; drawn by a hash of the id. Whole texts.
@@ -29,13 +29,13 @@ ROUNDS = 3
 #: Added to each piece's expected count.
 SMOOTHING = 0.1
 #: Text that is scored at a time, in characters.
-BLOCK = 6 << 20
+BLOCK = 3 << 20
 #: Words of equal length that are scored at a time.
 WORDS_AT_ONCE = 16_384
 #: For learning, longer words are cut into parts of so many characters.
 PART = 48
 #: Words a task remembers; beyond it, it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 UNKNOWN = "und"
 START = "▁"
@@ -257,7 +257,10 @@ class Scorer:
         return self.logs[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))]
 
     def texts(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """(language, posterior) of each text."""
+        """(language, posterior) of each text; whole texts, some at a time."""
+        return [found for some in text_blocks(texts, BLOCK) for found in self._block(some)]
+
+    def _block(self, texts: list[str | None]) -> list[tuple[str, float]]:
         number, places, lettered = defaultdict(count().__next__), [], []
         for text in texts:
             words = LETTERS((text or "").lower())

@@ -19,16 +19,16 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from roadstrata.llm.common import shared_bytes
+from roadstrata.llm.common import shared_bytes, text_blocks
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 #: Text that is counted at a time, in characters.
-BLOCK = 6 << 20
+BLOCK = 3 << 20
 #: Symbols that are merged at a time; a longer word goes alone.
 SYMBOLS = 1 << 20
 #: Words a task remembers; beyond it, it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 NEVER = np.int64(1 << 40)
 
@@ -135,6 +135,10 @@ class Counter:
         return text.lower()
 
     def texts(self, texts: list[str | None]) -> list[int]:
+        """Tokens of each text; whole texts, some at a time."""
+        return [n for some in text_blocks(texts, BLOCK) for n in self._block(some)]
+
+    def _block(self, texts: list[str | None]) -> list[int]:
         number, places, extra = defaultdict(count().__next__), [], []
         for text in texts:
             parts, text = [text or ""], text or ""
