@@ -1,7 +1,7 @@
 """License scans by ordered signature rules. Built-in functions only.
 
 The text becomes lower-case words with one space between them. Three gates keep the regexes off most texts: a few
-anchors, then each family's keyword, then the rule. Hits are intervals of words; in order of priority, and the longer
+anchors, then each family's keywords, then the rule. Hits are intervals of words; in order of priority, and the longer
 first, a hit that lies inside one accepted before is suppressed.
 """
 
@@ -20,7 +20,7 @@ BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights rese
 #: What lies between words. Fixed value.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-FAMILY = "array<struct<label:string,keyword:string,rules:array<struct<priority:int,confidence:double,pattern:string>>>>"
+FAMILY = "array<struct<label:string,keywords:array<string>,rules:array<struct<priority:int,confidence:double,pattern:string>>>>"
 
 
 def word_line(text: Column) -> Column:
@@ -64,7 +64,7 @@ def _hits() -> Column:
     """
     return F.expr(f"""
       if(gated,
-        array_sort(flatten(transform(filter(families, f -> contains(line, f.keyword)),
+        array_sort(flatten(transform(filter(families, f -> exists(f.keywords, k -> contains(line, k))),
           f -> flatten(transform(f.rules, r -> {places}))))),
         cast(array() as array<{hit}>))
     """)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from roadstrata.llm import bpe, lang_id, licenses, line_dedup, mixing, sharding, simhash, token_counts
-from roadstrata.llm.license_rules import ANCHORS, families
+from roadstrata.llm.license_rules import ANCHORS, FAMILIES, families
 from tests.llm.edges import documents, no_documents, rows
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -263,6 +263,53 @@ def test_rules_compile_and_pass_their_gates(spark):
     assert licenses.license_report(many).first().labels == "mit"
 
 
+def matched(pattern):
+    """All texts that the pattern matches, with every choice of optional parts; what repeats without end stands as a gap, once or not at all."""
+    from re import _parser as parser
+
+    def of(items):
+        out = [""]
+        for op, arg in items:
+            name = str(op)
+            if name == "LITERAL":
+                part = [chr(arg)]
+            elif name == "IN":
+                part = [chr(c) for kind, v in arg if str(kind) != "CATEGORY" for c in ([v] if str(kind) == "LITERAL" else range(v[0], v[1] + 1))]
+                part = part or ["0"]
+            elif name == "BRANCH":
+                part = [t for branch in arg[1] for t in of(branch)]
+            elif name == "SUBPATTERN":
+                part = of(arg[3])
+            else:
+                low, high, what = arg
+                assert name == "MAX_REPEAT" and low == 0, name
+                part = ["", *(of(what) if high == 1 else ["\0"])]
+            out = [a + b for a in out for b in part]
+        return out
+
+    return of(parser.parse(pattern))
+
+
+def test_every_text_of_a_family_passes_its_keywords():
+    for label, keywords, *regexes in FAMILIES:
+        for text in (t for r in regexes for t in matched(r)):
+            assert any(k in f" {text} " for k in keywords), (label, text)
+
+
+SHORT = {
+    "SPDX-License-Identifier: MPL-2.0": "mpl", "SPDX-License-Identifier: BSL-1.0": "bsl-1.0", "SPDX-License-Identifier: EPL-2.0": "epl",
+    "SPDX-License-Identifier: OFL-1.1": "ofl-1.1", "SPDX-License-Identifier: BUSL-1.1": "busl-1.1", "SPDX-License-Identifier: WTFPL": "wtfpl",
+    "licensed under the GPL": "gpl", "gnu gpl license": "gpl", "LGPL license": "lgpl", "LGPL-2.1 licensed": "lgpl-2.1", "license: expat license": "mit",
+    "licensed under HPND": "hpnd", "the unlicense": "unlicense",
+}
+
+
+def test_short_identifiers(spark):
+    df = spark.createDataFrame(list(enumerate(SHORT)), "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.license_report(df).collect()}
+    assert got == dict(enumerate(SHORT.values()))
+
+
 # --- token counts ---
 
 
