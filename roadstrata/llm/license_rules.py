@@ -97,18 +97,16 @@ FAMILIES = [
 GRANT = r"(?:licensed|licenced|released|distributed|redistributed|published|provided|available|covered|offered|shared|reuse) (?:under|by|according to|subject to|in accordance with)(?: (?:the|a|an|terms|and|conditions|of|gnu|either))*"
 
 
+#: Every text that a rule of a tag, a grant or an identifier matches contains one of these.
+ANCHORS = ("licen", "released ", "distributed ", "published ", "provided ", "available ", "covered ", "offered ", "shared ", "reuse ")
+
+
 @dataclass(frozen=True)
 class Rule:
     priority: int  # the smaller one decides
     confidence: float
     pattern: str
-
-
-#: Words of which at least one is in every text that a rule can match.
-ANCHORS = (
-    "licen", "copyright", "rights", "spdx", "public domain", " org ", " com ", "gnu", "gpl", " cc", "permission",
-    "proprietary", "unauthorized copying", "attribution", "commercial", "jpeg", " net ", "derivat", " ec ", " no part ",
-)
+    anchors: tuple[str, ...] = ()  # every text it matches contains one, if there are any
 
 
 def _bounded(pattern: str) -> str:
@@ -118,11 +116,11 @@ def _bounded(pattern: str) -> str:
 def family_rules(names: str, identifiers: str, phrases: str) -> list[Rule]:
     """The five forms: tag, grant, own phrase or address, name, identifier next to a word of licensing."""
     return [
-        Rule(1, 1.0, _bounded(rf"spdx licen[sc]e identifier (?:{identifiers})")),
-        Rule(2, 0.95, _bounded(rf"{GRANT} (?:{names}|{identifiers})(?: licen[sc]e)?")),
+        Rule(1, 1.0, _bounded(rf"spdx licen[sc]e identifier (?:{identifiers})"), ("spdx licen",)),
+        Rule(2, 0.95, _bounded(rf"{GRANT} (?:{names}|{identifiers})(?: licen[sc]e)?"), ANCHORS),
         Rule(3, 0.9, _bounded(phrases)),
         Rule(4, 0.8, _bounded(names)),
-        Rule(5, 0.6, _bounded(rf"(?:licen[sc]e|licensed|licensing)(?: is| type| name)? (?:{identifiers})|(?:{identifiers}) licen[sc]e[ds]?")),
+        Rule(5, 0.6, _bounded(rf"(?:licen[sc]e|licensed|licensing)(?: is| type| name)? (?:{identifiers})|(?:{identifiers}) licen[sc]e[ds]?"), ("licen",)),
     ]
 
 

@@ -1,7 +1,7 @@
 """License scans by ordered signature rules. Built-in functions only.
 
-The text becomes lower-case words with one space between them. Three gates keep the regexes off most texts: a few
-anchors, then each family's keywords, then the rule. Hits are intervals of words; in order of priority, and the longer
+The text becomes lower-case words with one space between them. Two gates keep the regexes off most texts: each family's
+keywords, then the rule's anchors. Both hold for all that the regexes can match. Hits are intervals of words; in order of priority, and the longer
 first, a hit that lies inside one accepted before is suppressed.
 """
 
@@ -12,7 +12,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from roadstrata.llm.license_rules import ANCHORS, families
+from roadstrata.llm.license_rules import families
 
 #: Phrases that always count, and their labels. Fixed values.
 BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
@@ -20,7 +20,7 @@ BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights rese
 #: What lies between words. Fixed value.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-FAMILY = "array<struct<label:string,keywords:array<string>,rules:array<struct<priority:int,confidence:double,pattern:string>>>>"
+FAMILY = "array<struct<label:string,keywords:array<string>,rules:array<struct<priority:int,confidence:double,pattern:string,anchors:array<string>>>>>"
 
 
 def word_line(text: Column) -> Column:
@@ -63,10 +63,9 @@ def _hits() -> Column:
           acc -> acc.hits)), 1)
     """
     return F.expr(f"""
-      if(gated,
-        array_sort(flatten(transform(filter(families, f -> exists(f.keywords, k -> contains(line, k))),
-          f -> flatten(transform(f.rules, r -> {places}))))),
-        cast(array() as array<{hit}>))
+      array_sort(flatten(transform(filter(families, f -> exists(f.keywords, k -> contains(line, k))),
+        f -> flatten(transform(filter(f.rules, r -> size(r.anchors) = 0 or exists(r.anchors, a -> contains(line, a))),
+          r -> {places})))))
     """)
 
 
@@ -88,11 +87,8 @@ def license_report(docs: DataFrame) -> DataFrame:
 
     Map-only: no shuffle, so hot sources and copies do not matter. Extra columns are not used, equal rows each give their row.
     """
-    some_anchor = F.lit(False)
-    for anchor in ANCHORS:
-        some_anchor = some_anchor | F.contains("line", F.lit(anchor))
     lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), word_line(F.col("text")).alias("line"))
-    counted = lines.withColumn("n_words", F.expr(f"cast({spaces('line')} - 1 as bigint)")).withColumn("gated", some_anchor)
+    counted = lines.withColumn("n_words", F.expr(f"cast({spaces('line')} - 1 as bigint)"))
     rules = F.from_json(F.lit(json.dumps(families())), FAMILY)
     found = (
         counted.withColumn("families", rules)

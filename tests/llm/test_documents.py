@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from roadstrata.llm import bpe, lang_id, licenses, line_dedup, mixing, sharding, simhash, token_counts
-from roadstrata.llm.license_rules import ANCHORS, FAMILIES, families
+from roadstrata.llm.license_rules import ANCHORS, FAMILIES, GRANT, families
 from tests.llm.edges import documents, no_documents, rows
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -296,6 +296,53 @@ def test_every_text_of_a_family_passes_its_keywords():
             assert any(k in f" {text} " for k in keywords), (label, text)
 
 
+def test_every_text_of_a_rule_passes_its_anchors():
+    for text in matched(GRANT):
+        assert any(a in f" {text} " for a in ANCHORS), text
+    for f in families():
+        for r in f["rules"]:
+            if r["priority"] in (1, 5):
+                assert all(any(a in f" {t} " for a in r["anchors"]) for t in matched(r["pattern"][6:-5])), r
+            else:
+                assert r["anchors"] == (ANCHORS if r["priority"] == 2 else ()), r
+
+
+GRANTED = {
+    "released under MIT": "mit", "distributed under the terms of the Apache 2.0": "apache-2.0", "available under BSD 3-Clause": "bsd-3-clause",
+    "published under the MPL 2.0": "mpl", "shared according to UPL 1.0": "upl-1.0", "creative commons zero": "cc0-1.0",
+    "creative commons by 4.0": "cc-by", "png reference library version": "libpng", "provided by LGPL 2.1 or later": "lgpl-2.1",
+}
+
+
+def test_grants_without_other_words(spark):
+    df = spark.createDataFrame(list(enumerate(GRANTED)), "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.license_report(df).collect()}
+    assert got == dict(enumerate(GRANTED.values()))
+
+
+def test_gates_close_no_hit(spark):
+    """One text per alternative of every rule gives what the rules give without gates."""
+    texts = sorted({
+        text
+        for _, _, *regexes in FAMILIES
+        for form, r in zip(("spdx license identifier", "offered under the", "see", "in"), (regexes[1], *regexes), strict=True)
+        for t in {m.split()[0] + str(len(m.split())): m.replace("\0", "") for m in matched(r)}.values()
+        for text in (" ".join(x.split()) for x in (f"{form} {t}", f"{t} license"))
+    })
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    got = {r.doc_id: set(r.labels.split(",")) - {"reserved", ""} for r in licenses.license_report(df).collect()}
+    rules = [(f["label"], r["priority"], re.compile(r["pattern"])) for f in families() for r in f["rules"]]
+    for i, text in enumerate(texts):
+        hits = sorted((p, -m[0].count(" "), m.start(), m.end(), label) for label, p, rule in rules for m in rule.finditer(f" {text} "))
+        kept = []
+        for h in hits:
+            if not any(k[2] <= h[2] and h[3] <= k[3] for k in kept):
+                kept.append(h)
+        want = {h[4] for h in kept}
+        base = {label for phrase, label in (("cc by", "cc-by"), ("general public license", "gpl")) if f" {phrase} " in f" {text} "}
+        assert got[i] == want | base, (text, want, got[i])
+
+
 SHORT = {
     "SPDX-License-Identifier: MPL-2.0": "mpl", "SPDX-License-Identifier: BSL-1.0": "bsl-1.0", "SPDX-License-Identifier: EPL-2.0": "epl",
     "SPDX-License-Identifier: OFL-1.1": "ofl-1.1", "SPDX-License-Identifier: BUSL-1.1": "busl-1.1", "SPDX-License-Identifier: WTFPL": "wtfpl",
