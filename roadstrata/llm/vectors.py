@@ -151,6 +151,12 @@ def lifted_vectors(vectors: np.ndarray) -> np.ndarray:
     return np.concatenate([scaled, rest[:, None]], 1).astype(np.float32)
 
 
+def norm_band(vector: Column) -> Column:
+    """Vectors of a band differ in length by less than a factor of 16; length 1 is in the middle of band 0."""
+    squares = F.aggregate(vector, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    return F.floor(F.log2(F.sqrt(squares)) / 4 + 0.5).cast("int")
+
+
 def _evenly(n: int, wanted: int) -> np.ndarray:
     return np.unique(np.linspace(0, n - 1, min(n, wanted)).astype(np.int64)) if n else np.empty(0, np.int64)
 
@@ -309,7 +315,8 @@ def nearest_in_shard(shard: Shard, ids: np.ndarray, queries: np.ndarray, k: int)
             break
         true = asked[audit] @ shard.unit.T
         limit = -np.partition(-true, want - 1, axis=1)[:, want - 1]
-        found = (sims[audit] >= limit[:, None] - 1e-6).sum(axis=1)
+        # The scan's own similarities of what was found, so that no tolerance is needed.
+        found = ((np.take_along_axis(true, np.maximum(at[audit], 0), 1) >= limit[:, None]) & (at[audit] >= 0)).sum(axis=1)
         if np.minimum(found, want).sum() >= SEARCH_RECALL * want * len(audit):
             break
         width = min(n, 2 * width)
@@ -346,7 +353,7 @@ def nearest_vectors(vectors: DataFrame, k: int = NEAREST, step: int = QUERY_STEP
     non-finite components take no part, nor do null ids; vectors meet those with as many components. Rows of equal
     id and vector are one. Extra columns are not used.
 
-    Every query meets every shard. Of rows with the same vector the k + 1 smallest ids are kept with their
+    Every query meets every shard. A shard holds vectors of like length, as it scales them by the longest. Of rows with the same vector the k + 1 smallest ids are kept with their
     node: no result needs more of them.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vector"))
@@ -355,18 +362,19 @@ def nearest_vectors(vectors: DataFrame, k: int = NEAREST, step: int = QUERY_STEP
     nodes = (
         rows.withColumn("rank", rank).filter(F.col("rank") <= k + 1)
         .groupBy("vector").agg(F.sort_array(F.collect_set("vec_id")).alias("members"))
-        .withColumns({"node": F.monotonically_increasing_id(), "dim": F.size("vector"), "weight": F.lit(1).cast("long")})
+        .withColumns({"node": F.monotonically_increasing_id(), "dim": F.size("vector"), "band": norm_band(F.col("vector")), "weight": F.lit(1).cast("long")})
     )
     nodes = stored(nodes, "nodes")
-    shards_of = nodes.groupBy("dim").agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"))
-    placed = nodes.join(shards_of, "dim").withColumn("shard", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("shards")).cast("int"))
-    index = stored(build_shards(placed, ["dim"], lifted_vectors), "shards")
+    kind = ["dim", "band"]
+    shards_of = nodes.groupBy(*kind).agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"))
+    placed = nodes.join(shards_of, kind).withColumn("shard", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("shards")).cast("int"))
+    index = stored(build_shards(placed, kind, lifted_vectors), "shards")
     asked = rows.filter(F.col("vec_id") % step == 0).distinct().withColumn("dim", F.size("vector"))
     blocks = asked.groupBy("dim").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     queries = (
         asked.join(blocks, "dim").join(shards_of, "dim")
         .withColumn("block", F.pmod(F.xxhash64(F.lit(2), "vec_id"), F.col("blocks")).cast("int"))
-        .select("dim", "block", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "vec_id", "vector")
+        .select(*kind, "block", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "vec_id", "vector")
     )
     index = index.join(blocks, "dim").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
 
@@ -377,7 +385,7 @@ def nearest_vectors(vectors: DataFrame, k: int = NEAREST, step: int = QUERY_STEP
             found = nearest_in_shard(Shard(held, lifted_vectors), ids, _matrix(asked.column("vector"), asked.num_rows), k)
         return pa.table({"query_id": pa.array(found[0]), "vec_id": pa.array(found[1]), "score": pa.array(found[2])})
 
-    cell = ["dim", "shard", "block"]
+    cell = [*kind, "shard", "block"]
     found = index.groupBy(*cell).cogroup(queries.groupBy(*cell)).applyInArrow(search, "query_id long, vec_id long, score double")
     best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", best.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

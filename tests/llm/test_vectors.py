@@ -101,6 +101,21 @@ def test_nearest_vectors(spark, small):
     assert hits == tried if small else hits >= 0.97 * tried
 
 
+def test_one_long_vector_hides_no_neighbours(spark):
+    x = clustered(3000)
+    x[17] *= 1e8
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], SCHEMA).repartition(4)
+    got = {}
+    for r in vectors.nearest_vectors(df).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    asked = np.arange(0, len(x), 20)
+    scores = x[asked].astype(float) @ x.astype(float).T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    limit = -np.sort(-scores, axis=1)[:, 19]
+    hits = sum((scores[i, sorted(got[q])] >= limit[i] - 1e-9 * abs(limit[i])).sum() for i, q in enumerate(asked.tolist()))
+    assert hits >= 0.97 * 20 * len(asked)
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert vectors.near_vectors(empty).count() == vectors.nearest_vectors(empty).count() == 0
