@@ -168,8 +168,9 @@ def found_links(shard: Shard, nodes: np.ndarray, queries: np.ndarray, cosine: fl
     """(query, place) of pairs at `cosine` or above, verified in double precision; a vector finds itself too.
 
     `nodes` names the queries: in its own shard a query also enters the graph at its own place. A query is searched again with a beam twice as wide while its whole beam lies above the limit. Then
-    queries that found most and queries spread evenly are compared with the whole shard; if they missed more
-    than 1 - LINK_RECALL of their links, all beams are doubled, at last to the whole shard.
+    queries that found most, queries spread evenly and queries that found no other are compared with the whole shard; if in
+    one of these groups the mean share of a query's links to others that it found is below LINK_RECALL, all beams are
+    doubled, at last to the whole shard.
     """
     units, places = unit_vectors(queries), shard.places(nodes)
     lengths, own = np.linalg.norm(shard.vectors, axis=1), np.linalg.norm(queries, axis=1)
@@ -192,7 +193,7 @@ def found_links(shard: Shard, nodes: np.ndarray, queries: np.ndarray, cosine: fl
         both = np.concatenate(parts)
         return verified(both[:, 0], both[:, 1])
 
-    n, width = len(shard.nodes), BEAM
+    n, width, itself = len(shard.nodes), BEAM, (places >= 0).astype(np.int64)
     while width < n:
         todo, wide, pairs = np.arange(len(queries)), width, []
         while len(todo):
@@ -207,9 +208,15 @@ def found_links(shard: Shard, nodes: np.ndarray, queries: np.ndarray, cosine: fl
         both = np.concatenate(pairs)
         q, at = verified(both[:, 0], both[:, 1])
         counts = np.bincount(q, minlength=len(queries))
-        audit = np.unique(np.concatenate([np.argsort(-counts, kind="stable")[: AUDITED // 2], _evenly(len(queries), AUDITED // 2)]))
-        true = len(scanned(audit)[0])
-        if counts[audit].sum() >= LINK_RECALL * true:
+        alone = np.nonzero(counts <= itself)[0]
+        groups = [
+            np.argsort(-counts, kind="stable")[: AUDITED // 2],
+            _evenly(len(queries), AUDITED // 2),
+            alone[_evenly(len(alone), AUDITED // 4)],
+        ]
+        true = np.bincount(scanned(np.unique(np.concatenate(groups)))[0], minlength=len(queries)) - itself
+        linked = [g[true[g] > 0] for g in groups]
+        if all(not len(g) or ((counts - itself)[g] / true[g]).mean() >= LINK_RECALL for g in linked):
             return q, at
         width *= 2
     return scanned(np.arange(len(queries)))

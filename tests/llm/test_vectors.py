@@ -152,6 +152,31 @@ def test_audit_widens_until_all_links_are_found(foreign):
     assert true >= len(set(zip(q.tolist(), at.tolist(), strict=True))) >= 0.999 * true
 
 
+def test_audit_sees_small_groups_beside_a_hot_one():
+    """A search that loses the pairs in narrow beams, beside a family that finds all its links."""
+    rng = np.random.default_rng(3)
+    hot = rng.normal(size=24) + 0.02 * rng.normal(size=(2000, 24))
+    one = rng.normal(size=(1000, 24))
+    x = np.concatenate([hot, one, one + 0.01 * rng.normal(size=one.shape)])
+    u = vectors.unit_vectors(x)
+
+    class Losing(vectors.Shard):
+        def search(self, queries, width, own=None):
+            sims = queries @ self.unit.T
+            if width < 128:
+                small = own >= 2000
+                sims[small] = np.where(np.arange(len(x)) == own[small][:, None], sims[small], -1)
+            at = np.argsort(-sims, axis=1, kind="stable")[:, :width]
+            return at, np.take_along_axis(sims, at, 1)
+
+    shard = Losing.__new__(Losing)
+    shard.nodes, shard.vectors, shard.unit = np.arange(len(x)), x, u
+    shard.graph = Graph(u, np.arange(len(x)), [len(x)], [])
+    q, at = vectors.found_links(shard, np.arange(len(x)), x, 0.93)
+    y = x / np.linalg.norm(x, axis=1)[:, None]
+    assert set(zip(q.tolist(), at.tolist(), strict=True)) == set(map(tuple, np.argwhere(y @ y.T >= 0.93).tolist()))
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     rng = np.random.default_rng(seed)
