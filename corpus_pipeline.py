@@ -1,6 +1,6 @@
 """A corpus pipeline over `documents`: each stage works on all that the one before has kept.
 
-Documents whose language can't be told go; lines that many documents share go from all but one; of near copies
+Documents without letters, or too short to tell their language, go; lines that many documents share go from all but one; of near copies
 one stays; sources are brought to their target shares, some documents more than once; and what
 is left is encoded. Stages but the last return the columns of `documents`.
 """
@@ -18,7 +18,10 @@ from roadstrata.workspace import materialize
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts that are null, without letters, or not clearly of any language of the given documents."""
+    """Rejects texts that are null, without letters, or so short that no learned language is clearly likelier.
+
+    Longer texts pass, also gibberish or a language that was not learned: languages are only compared with each other.
+    """
     return keep_identified(docs)
 
 
