@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadstrata.llm import bpe, lang_id, licenses, line_dedup, mixing, sharding, simhash, token_counts, vectors
+from roadstrata.llm import (
+    bpe,
+    divergence,
+    lang_id,
+    licenses,
+    line_dedup,
+    manifest,
+    mixing,
+    sharding,
+    simhash,
+    token_counts,
+    token_files,
+    vectors,
+)
 from roadstrata.llm.common import documents, embeddings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +65,18 @@ def op10_marginal_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.language_report(documents(spark, sf_dir))
 
 
+def op11_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_file_report(documents(spark, sf_dir))
+
+
+def op12_skyband_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(documents(spark, sf_dir))
+
+
+def op13_postorder_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest_report(documents(spark, sf_dir)).drop("tampered", "log_place")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -65,5 +90,8 @@ QUERIES: dict[str, Query] = {
         op8_pivotal_mix,
         op9_line_runs,
         op10_marginal_unigrams,
+        op11_rans_files,
+        op12_skyband_divergence,
+        op13_postorder_manifest,
     )
 }
