@@ -33,7 +33,7 @@ from roadstrata.workspace import discard, materialize_at, scratch_path, session_
 VOCABULARY = "word_bpe_49k.json"
 END = 2
 #: Bytes of text encoded at a time, and pieces of text a task remembers before it starts anew.
-TEXTS, REMEMBERED = 4 << 20, 1_000_000
+TEXTS, REMEMBERED = 4 << 20, 800_000
 #: Blocks that are coded together.
 TOGETHER = 32
 
@@ -62,19 +62,37 @@ class Encoder:
 
         self.library = Tokenizer.from_str(raw.decode())
         self.end = end
+        model = json.loads(raw)["model"]
+        suffix = model.get("end_of_word_suffix")
+        #: Whether an id ends a word, if the vocabulary says so.
+        self.ends_word = None
+        if suffix:
+            self.ends_word = np.zeros(self.library.get_vocab_size(), bool)
+            self.ends_word[[i for token, i in model["vocab"].items() if token.endswith(suffix)]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.pieces, self.words = _Memory(), _Memory()
-        self.pieces.add([""], np.zeros(0, np.uint32), np.zeros(1, np.int64))
+        # No piece of a text is a line break, so that can stand for the end id.
+        self.pieces.add(["", "\n"], np.array([self.end], np.uint32), np.array([0, 1]))
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids one after the other, how many of each word)"""
         known = words.dictionary_encode()
-        return self.words.look_up(known.dictionary, known.indices.to_numpy(), self._by_library)
+        return self.words.look_up(known.dictionary, known.indices.to_numpy(), self._plain_words)
+
+    def _plain_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As one text with a space between words; ids that end a word tell them apart again."""
+        if self.ends_word is not None:
+            line = " ".join(_strings(words))
+            ids = np.array(self.library.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.uint32)
+            last = np.flatnonzero(self.ends_word[ids])
+            if len(last) == len(words) and (not len(ids) or last[-1] == len(ids) - 1):
+                return ids, np.diff(last, prepend=-1)
+        return self._by_library(words)
 
     def _by_library(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.library.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
+        found = [e.ids for e in self.library.encode_batch_fast(_strings(words), add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
@@ -103,9 +121,28 @@ class Encoder:
         if pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():
             pieces = pa.array([SPACE.split(t) for t in texts.to_pylist()], pa.list_(pa.string()))
         known = pieces.flatten().dictionary_encode()
-        ids, sizes = self.pieces.look_up(known.dictionary, known.indices.to_numpy(), self._by_words)
-        places = np.append(0, np.cumsum(sizes))[pieces.offsets.to_numpy()]
-        return np.insert(ids, places[1:], self.end), np.diff(places) + 1
+        bounds = pieces.offsets.to_numpy()
+        at = np.insert(known.indices.to_numpy(), bounds[1:], len(known.dictionary))
+        ids, sizes = self.pieces.look_up(pa.concat_arrays([known.dictionary, pa.array(["\n"])]), at, self._by_words)
+        places = np.append(0, np.cumsum(sizes))[bounds + np.arange(len(bounds))]
+        return ids, np.diff(places)
+
+
+def _strings(array: pa.Array) -> list[str]:
+    """As to_pylist(), several times as fast."""
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
+_kept: dict[tuple[int, int], Encoder] = {}
+
+
+def encoder(raw: bytes, end: int) -> Encoder:
+    """The worker's encoder for a vocabulary: tasks that follow one another in a worker share what it remembers."""
+    key = (zlib.crc32(raw), end)
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = Encoder(raw, end)
+    return _kept[key]
 
 
 class _Memory:
@@ -113,27 +150,28 @@ class _Memory:
 
     def __init__(self):
         self.number: dict[str, int] = {}
-        self.flat, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.flat, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def add(self, strings: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         self.number.update(zip(strings, range(len(self.number), len(self.number) + len(strings)), strict=True))
-        self.flat, self.sizes = np.append(self.flat, ids), np.append(self.sizes, sizes)
+        starts = (len(self.flat) + np.cumsum(sizes) - sizes).astype(np.int32)
+        self.starts, self.sizes = np.append(self.starts, starts), np.append(self.sizes, sizes.astype(np.int32))
+        self.flat = np.append(self.flat, ids)
 
     def look_up(self, distinct: pa.Array, at: np.ndarray, learn) -> tuple[np.ndarray, np.ndarray]:
         """(ids one after the other, how many of each) of distinct[at]; `learn` gives those of strings not met before."""
-        strings = distinct.to_pylist()
-        place = np.fromiter((self.number.get(s, -1) for s in strings), np.int64, len(strings))
+        strings, get = _strings(distinct), self.number.get
+        place = np.array([get(s, -1) for s in strings], np.int64)
         fresh = np.flatnonzero(place < 0)
         if len(fresh):
             some = distinct.take(pa.array(fresh))
             ids, sizes = learn(some)
             place[fresh] = len(self.number) + np.arange(len(fresh))
-            self.add(some.to_pylist(), ids, sizes)
-        every = place[at]
-        size = self.sizes[every]
-        starts = (np.cumsum(self.sizes) - self.sizes)[every]
-        before = np.cumsum(size) - size
-        return self.flat[np.repeat(starts - before, size) + np.arange(size.sum())], size
+            self.add([strings[i] for i in fresh.tolist()], ids, sizes)
+        sizes, starts = self.sizes[place], self.starts[place]
+        size = sizes[at]
+        before = np.cumsum(size, dtype=np.int32) - size
+        return self.flat[np.repeat(starts[at] - before, size) + np.arange(size.sum(), dtype=np.int32)], size
 
 
 def tokens(docs: DataFrame, vocabulary: str | None = None, end: int = END) -> DataFrame:
@@ -146,7 +184,7 @@ def tokens(docs: DataFrame, vocabulary: str | None = None, end: int = END) -> Da
     raw, wide, end_id = shared_bytes(docs.sparkSession, path), id_width(path), end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(raw.value, end_id)
+        encode = encoder(raw.value, end_id)
         for batch in batches:
             size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().cumsum()
             cuts = [*np.flatnonzero(np.diff(size // TEXTS)) + 1, batch.num_rows]
