@@ -44,15 +44,15 @@ class Graph:
     layers: list[np.ndarray]
 
     @staticmethod
-    def build(vectors: np.ndarray, seed: int = 17) -> Graph:
-        """Deterministic for the order of its input."""
+    def build(vectors: np.ndarray, seed: int = 17, top: int = TOP) -> Graph:
+        """Deterministic for the order of its input. The uppermost layer has no more than `top` nodes."""
         n = len(vectors)
         level = np.floor(-np.log1p(-np.random.default_rng(seed).random(n)) / np.log(RATIO)).astype(int)
         order = np.argsort(-level, kind="stable")
         sizes = [n]
-        while sizes[-1] > TOP:
+        while sizes[-1] > top:
             above = int((level >= len(sizes)).sum())
-            sizes.append(above if 0 < above < sizes[-1] else min(TOP, sizes[-1]))
+            sizes.append(above if 0 < above < sizes[-1] else min(top, sizes[-1]))
         graph = Graph(np.ascontiguousarray(vectors[order], np.float32), order, sizes, [])
         built: list[np.ndarray] = []
         for depth in range(len(sizes) - 2, -1, -1):

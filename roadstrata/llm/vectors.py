@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadstrata.llm.common import stored
 from roadstrata.llm.components import components, join_labels
-from roadstrata.llm.hnsw import Graph
+from roadstrata.llm.hnsw import TOP, Graph
 
 #: Distinct vectors of a shard, and queries of a block, on average.
 SHARD, BLOCK = 16_384, 8_192
@@ -27,6 +27,8 @@ BEAM = 64
 #: Queries per task that an audit also compares with the whole shard, and the share of true results they must find.
 AUDITED = 256
 LINK_RECALL, SEARCH_RECALL = 0.999, 0.98
+#: A beam of links is widened up to this part of its shard, or twice the first beam if that is more; a wider one costs more than a scan.
+WIDEST = 128
 #: Single-precision similarities below the limit by less than this are looked at again in double precision.
 SLACK = 1e-4
 NEAREST = 20
@@ -71,14 +73,19 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tupl
 SHARD_ROW = "nodes binary, weights binary, vectors binary, members binary, ends binary, places binary, links binary, sizes array<int>"
 
 
-def _built(kinds: str, keys: int, unit):
+def entry_layer(n: int) -> int:
+    """Nodes of the uppermost layer of a graph of n nodes at most: all are looked at to enter, so that a small family is not out of reach."""
+    return min(4096, max(16, n // 4))
+
+
+def _built(kinds: str, keys: int, unit, top):
     """mapInArrow function over rows (keys..., node, weight, members, vector) sorted by keys: a row of arrays per shard."""
     names = [part.split()[0] for part in kinds.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, table in _groups(batches, keys):
             vectors = _matrix(table.column("vector"), table.num_rows)
-            graph = Graph.build(unit(vectors))
+            graph = Graph.build(unit(vectors), top=top(len(vectors)))
             places, links, sizes = graph.arrays()
             members = table.column("members").combine_chunks()
             sizes_of = np.diff(members.offsets.to_numpy()) if isinstance(members, pa.ListArray) else np.array([len(x) for x in members.to_pylist()])
@@ -100,13 +107,13 @@ def _built(kinds: str, keys: int, unit):
     return run
 
 
-def build_shards(placed: DataFrame, kind: list[str], unit) -> DataFrame:
+def build_shards(placed: DataFrame, kind: list[str], unit, top=lambda n: TOP) -> DataFrame:
     """One row per shard of `placed` (columns `kind`, shard, node, weight, members, vector)."""
     keys = [*kind, "shard"]
     types = dict(placed.dtypes)
     head = ", ".join(f"{k} {types[k]}" for k in keys)
     dealt = placed.select(*keys, "node", "weight", "members", "vector").repartition(*keys).sortWithinPartitions(*keys, "node")
-    return dealt.mapInArrow(_built(head, len(keys), unit), f"{head}, {SHARD_ROW}")
+    return dealt.mapInArrow(_built(head, len(keys), unit, top), f"{head}, {SHARD_ROW}")
 
 
 class Shard:
@@ -167,59 +174,80 @@ def _evenly(n: int, wanted: int) -> np.ndarray:
 def found_links(shard: Shard, nodes: np.ndarray, queries: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """(query, place) of pairs at `cosine` or above, verified in double precision; a vector finds itself too.
 
-    `nodes` names the queries: in its own shard a query also enters the graph at its own place. A query is searched again with a beam twice as wide while its whole beam lies above the limit. Then
-    queries that found most, queries spread evenly and queries that found no other are compared with the whole shard; if in
-    one of these groups the mean share of a query's links to others that it found is below LINK_RECALL, all beams are
-    doubled, at last to the whole shard.
+    `nodes` names the queries: in its own shard a query also enters the graph at its own place. A query is searched again with a beam twice as wide while its
+    whole beam lies above the limit. Then queries that found most, queries spread evenly and queries that found no other are compared with the
+    whole shard; in each of these groups the mean share of a query's links to others that it found must be LINK_RECALL. If it is not, all
+    queries like those that missed some, with links or without, are searched again with beams twice as wide; what was found before is kept, and other
+    queries are audited. Beams wider than a part of the shard (WIDEST) give way to a scan of it.
     """
     units, places = unit_vectors(queries), shard.places(nodes)
     lengths, own = np.linalg.norm(shard.vectors, axis=1), np.linalg.norm(queries, axis=1)
+    n = len(shard.nodes)
+    widest = max(2 * BEAM, n // WIDEST)
+    exact = np.zeros(len(queries), bool)
 
-    def verified(q: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def verified(q: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The pairs, as one number each."""
         good = []
         for i in range(0, len(q), 1 << 16):
             a, b = q[i : i + (1 << 16)], at[i : i + (1 << 16)]
             cos = np.einsum("nd,nd->n", queries[a], shard.vectors[b]) / (own[a] * lengths[b])
             good.append(cos >= cosine)
         keep = np.concatenate(good) if good else np.empty(0, bool)
-        return q[keep], at[keep]
+        return q[keep].astype(np.int64) * n + at[keep]
 
-    def scanned(some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def scanned(some: np.ndarray) -> np.ndarray:
         parts = [np.empty((0, 2), np.int64)]
         for i in range(0, len(some), 512):
             near = np.argwhere(units[some[i : i + 512]] @ shard.unit.T >= cosine - SLACK)
             near[:, 0] = some[i + near[:, 0]]
             parts.append(near)
+        exact[some] = True
         both = np.concatenate(parts)
         return verified(both[:, 0], both[:, 1])
 
-    n, width, itself = len(shard.nodes), BEAM, (places >= 0).astype(np.int64)
-    while width < n:
-        todo, wide, pairs = np.arange(len(queries)), width, []
+    def searched(todo: np.ndarray, width: int) -> np.ndarray:
+        pairs = [np.empty(0, np.int64)]
         while len(todo):
-            if wide >= n:
-                pairs.append(np.stack(scanned(todo), 1))
+            if width > widest or width >= n:
+                pairs.append(scanned(todo))
                 break
-            at, sims = shard.search(units[todo], wide, places[todo])
-            more = sims[:, -1] >= cosine - SLACK
-            row, column = np.nonzero((sims >= cosine - SLACK) & (at >= 0) & ~more[:, None])
-            pairs.append(np.stack([todo[row], at[row, column]], 1))
-            todo, wide = todo[more], wide * 2
-        both = np.concatenate(pairs)
-        q, at = verified(both[:, 0], both[:, 1])
-        counts = np.bincount(q, minlength=len(queries))
-        alone = np.nonzero(counts <= itself)[0]
+            at, sims = shard.search(units[todo], width, places[todo])
+            near = (sims >= cosine - SLACK) & (at >= 0)
+            row, column = np.nonzero(near)
+            pairs.append(verified(todo[row], at[row, column]))
+            todo, width = todo[near[:, -1]], width * 2
+        return np.concatenate(pairs)
+
+    def others(pairs: np.ndarray) -> np.ndarray:
+        """How many other vectors each query is paired with."""
+        return np.bincount(pairs // n, minlength=len(queries)) - (places >= 0)
+
+    width = {"linked": BEAM, "alone": BEAM}
+    pairs = np.unique(searched(np.arange(len(queries)), BEAM))
+    while not exact.all():
+        counts = others(pairs)
+        kinds = {"linked": np.flatnonzero(~exact & (counts > 0)), "alone": np.flatnonzero(~exact & (counts <= 0))}
+        rest = np.flatnonzero(~exact)
         groups = [
-            np.argsort(-counts, kind="stable")[: AUDITED // 2],
-            _evenly(len(queries), AUDITED // 2),
-            alone[_evenly(len(alone), AUDITED // 4)],
+            kinds["linked"][np.argsort(-counts[kinds["linked"]], kind="stable")[: AUDITED // 2]],
+            rest[_evenly(len(rest), AUDITED // 2)],
+            kinds["alone"][_evenly(len(kinds["alone"]), AUDITED // 4)],
         ]
-        true = np.bincount(scanned(np.unique(np.concatenate(groups)))[0], minlength=len(queries)) - itself
+        audited = scanned(np.unique(np.concatenate(groups)))
+        true = others(audited)
         linked = [g[true[g] > 0] for g in groups]
-        if all(not len(g) or ((counts - itself)[g] / true[g]).mean() >= LINK_RECALL for g in linked):
-            return q, at
-        width *= 2
-    return scanned(np.arange(len(queries)))
+        failed = [g for g in linked if len(g) and (counts[g] / true[g]).mean() < LINK_RECALL]
+        pairs = np.union1d(pairs, audited)
+        if not failed:
+            break
+        missing = np.unique(np.concatenate(failed))
+        missing = missing[counts[missing] < true[missing]]
+        for kind, some in kinds.items():
+            if np.isin(missing, some).any():
+                width[kind] *= 2
+                pairs = np.union1d(pairs, searched(some[~exact[some]], width[kind]))
+    return pairs // n, pairs % n
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
@@ -255,7 +283,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, shard: int = SHARD,
         }
     )
     placed = stored(placed, "placed")
-    shards = stored(build_shards(placed, kind, unit_vectors), "shards").join(sizes, kind)
+    shards = stored(build_shards(placed, kind, unit_vectors, entry_layer), "shards").join(sizes, kind)
     shards = shards.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     queries = placed.select(*kind, "block", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "node", "vector")
 
