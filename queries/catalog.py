@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from queries.telemetry_view import COLUMNS, TIE_BREAK, nested, table, telemetry
+from roadstrata.functions.keys import null_safe_on, stable_dense_key
 from roadstrata.functions.times import calendar_between, observed_hours
 from roadstrata.operators.flatten import flatten
 from roadstrata.operators.rules import FAILED, split, telemetry_rules, validation_summary
@@ -21,6 +22,7 @@ from roadstrata.sinks.bronze import land_bronze
 from roadstrata.sinks.gold import publish
 from roadstrata.sinks.metrics import RunMetrics
 from roadstrata.sinks.silver import merge_partitions, write_quarantine, write_silver
+from roadstrata.sources.documents import read_documents
 from roadstrata.sources.files import (
     append_ledger,
     batch_id,
@@ -151,6 +153,31 @@ def flatten_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presented(flatten(read_records(spark, path)))
 
 
+@stored_once("pretty")
+def pretty_documents(spark: SparkSession, sf_dir: str) -> str:
+    """The readings as array documents with a record on many lines, each with a nested field that the schema does not know."""
+    path = scratch_path(spark, "pretty")
+    rows = nested(telemetry(spark, sf_dir), "struct(passenger_count * 2 as reading) as new_sensor")
+    lines = rows.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("record"))
+    # Some thousand records to a document, whatever the size of the tables.
+    documents = lines.groupBy(F.pmod(F.xxhash64("record"), F.lit(max(1, lines.count() // 5000)))).agg(
+        F.concat(F.lit("[ "), F.array_join(F.collect_list("record"), ", "), F.lit(" ]")).alias("value")
+    )
+    documents.select("value").write.text(path)
+    return path
+
+
+def flatten_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return presented(flatten(read_documents(spark, pretty_documents(spark, sf_dir))))
+
+
+def flatten_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts by their content."""
+    flat = flatten(read_telemetry(spark, raw_files(spark, sf_dir), multiline=False))
+    alert = flat.select("vehicle_id", F.explode("alerts").alias("a"))
+    return alert.select("vehicle_id", "a.type", "a.description", "a.severity", F.col("a.timestamp").alias("raised"))
+
+
 def flatten_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places and owners under a schema found in the data rather than declared."""
     raw = read_inferred(spark, raw_files(spark, sf_dir), multiline=False)
@@ -215,6 +242,50 @@ def bronze_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bronze_payload_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze job over documents: a nested field that the schema does not know comes back by its path."""
+    layers = Layers.under(scratch_path(spark, "payload-documents"))
+    run_bronze(spark, pretty_documents(spark, sf_dir), layers, "2024-01-01", pattern="*.txt")
+    reading = F.variant_get(F.parse_json("payload"), "$.new_sensor.reading", "bigint")
+    return read_landed(spark, layers.bronze).groupBy(reading.alias("reading")).agg(
+        F.count("*").alias("records"), F.count(CORRUPT).alias("malformed")
+    )
+
+
+def ingest_manifest_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file that cannot be opened and one that is cut off in its compression: both failed, the rest landed."""
+    root = scratch_path(spark, "faults")
+    layers = Layers.under(f"{root}/lake")
+    nested(telemetry(spark, sf_dir)).write.json(f"{root}/in/good")
+    few = table(spark, sf_dir, "region").coalesce(1)
+    few.write.json(f"{root}/tmp/plain")
+    few.write.option("compression", "gzip").json(f"{root}/tmp/cut")
+    _copy_first(spark, f"{root}/tmp/plain", f"{root}/in/not-compressed.json.gz", 1.0)
+    _copy_first(spark, f"{root}/tmp/cut", f"{root}/in/cut-off.json.gz", 0.5)
+    run_bronze(spark, f"{root}/in", layers, "2024-01-01", multiline=False, pattern="*.json*")
+    landed = read_landed(spark, layers.bronze).groupBy(F.regexp_extract("source_file", r"/in/(good|[^/]+)", 1).alias("file")).agg(
+        F.count("*").alias("records")
+    )
+    kind = F.when(F.col("file_name").startswith("part-"), "good").otherwise(F.col("file_name"))
+    manifest = spark.read.parquet(layers.manifest).groupBy(kind.alias("file"), "status").agg(
+        (F.count("error_msg") == F.count("*")).alias("with_error")
+    )
+    return manifest.join(landed, "file", "left").select("file", "status", "with_error", F.coalesce("records", F.lit(0)).cast("bigint").alias("records"))
+
+
+def _copy_first(spark: SparkSession, folder: str, path: str, share: float) -> None:
+    """Copy the first part of the largest file in `folder`, a small one, to `path`, on whatever file system that is."""
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    files = hadoop.fs.Path(folder).getFileSystem(conf)
+    largest = max(files.listStatus(hadoop.fs.Path(folder)), key=lambda status: status.getLen())
+    source, target = files.open(largest.getPath()), files.create(hadoop.fs.Path(path))
+    data = spark.sparkContext._gateway.new_array(spark._jvm.byte, int(largest.getLen() * share))
+    source.readFully(0, data)
+    target.write(data)
+    source.close()
+    target.close()
+
+
 def pending_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of returned items are in the ledger already; read just the others."""
     root, ledger = scratch_path(spark, "inbox"), scratch_path(spark, "ledger")
@@ -344,6 +415,16 @@ def dimension(name: str, dense: bool = False) -> Query:
     return query
 
 
+def dense_key_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Owners in two batches, the second with the first's members among its own: which batch gave a number, and the number."""
+    path = scratch_path(spark, "owner-numbers")
+    owners = silver(spark, sf_dir).select(*D.OWNER_KEY, "weather_condition")
+    first = stable_dense_key(owners.filter("weather_condition = 'A'").select(*D.OWNER_KEY).distinct(), D.OWNER_KEY, "owner_sk", path)
+    first = materialize(first, "first-numbers").withColumnRenamed("owner_sk", "first_sk")
+    second = stable_dense_key(owners.select(*D.OWNER_KEY).distinct(), D.OWNER_KEY, "owner_sk", path)
+    return second.join(first, null_safe_on(second, first, D.OWNER_KEY), "left").select(*[second[c] for c in D.OWNER_KEY], "owner_sk", "first_sk")
+
+
 def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.current_and_destination(silver(spark, sf_dir))
 
@@ -425,6 +506,56 @@ def job_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.filter("stage <> 'batches'").select("stage", "rows")
 
 
+def job_fact_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold job by day with keys looked up."""
+    layers = replace(lake(spark, sf_dir)[0], gold=scratch_path(spark, "gold-joined"))
+    run_gold(spark, layers, resolve="join")
+    return presented(spark.read.parquet(f"{layers.gold}/fact_traffic").drop("date"))
+
+
+@stored_once("days")
+def lake_by_day(spark: SparkSession, sf_dir: str) -> Layers:
+    """Gold by day over all but some readings of the first and the last day, which come in late; then these two days again."""
+    root = scratch_path(spark, "days")
+    layers = Layers.under(f"{root}/lake")
+    readings = telemetry(spark, sf_dir)
+    days = readings.agg(F.min("date"), F.max("date")).first()
+    late = F.col("date").isin(list(days)) & (F.col("weather_condition") != "A")
+    for name, rows in (("first", readings.filter(~late)), ("second", readings.filter(late))):
+        nested(rows).write.json(f"{root}/in/{name}")
+        run_bronze(spark, f"{root}/in", layers, "2024-01-01", record_per_line=True)
+        run_silver(spark, layers, order=by_all_columns())
+        run_gold(spark, layers, dates=None if name == "first" else list(days))
+    return layers
+
+
+def job_gold_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return presented(spark.read.parquet(f"{lake_by_day(spark, sf_dir).gold}/fact_traffic"))
+
+
+def job_gold_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = spark.read.parquet(f"{lake_by_day(spark, sf_dir).gold}/fact_traffic_minute_agg")
+    return groups.withColumns({n: F.round(n, 6) for n in ("avg_speed", "avg_congestion")})
+
+
+def job_gold_one_day_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All members of all dimensions, in one column set."""
+    gold = lake_by_day(spark, sf_dir).gold
+    shapes = {
+        "dim_owner": ("owner_sk", D.OWNER_KEY, []),
+        "dim_vehicle": ("vehicle_sk", ["license_number", "vehicle_type", "vehicle_classification"], ["vehicle_length", "vehicle_width", "vehicle_height"]),
+        "dim_location": ("location_sk", D.LOCATION_KEY, []),
+        "dim_weather": ("weather_sk", ["weather_condition"], ["temperature", "humidity"]),
+    }
+    parts = []
+    for name, (key, texts, numbers) in shapes.items():
+        text = [F.col(texts[i]) if i < len(texts) else F.lit(None).cast("string") for i in range(3)]
+        number = [F.col(numbers[i]).cast("double") if i < len(numbers) else F.lit(None).cast("double") for i in range(3)]
+        named = [c.alias(n) for c, n in zip([*text, *number], ("text_1", "text_2", "text_3", "number_1", "number_2", "number_3"), strict=True)]
+        parts.append(spark.read.parquet(f"{gold}/{name}").select(F.lit(name).alias("dimension"), F.col(key).alias("key"), *named))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def job_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both jobs lose their ledgers once, with a file more before the next run: nothing is doubled or lost."""
     root = scratch_path(spark, "rerun")
@@ -460,11 +591,15 @@ def job_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "flatten_nested": flatten_nested,
     "flatten_multiline": flatten_multiline,
+    "flatten_documents": flatten_documents,
+    "flatten_alerts": flatten_alerts,
     "flatten_inferred": flatten_inferred,
     "props_parse": props_parse,
     "bronze_landing": bronze_landing,
     "ingest_manifest": ingest_manifest,
+    "ingest_manifest_faults": ingest_manifest_faults,
     "bronze_payload": bronze_payload,
+    "bronze_payload_documents": bronze_payload_documents,
     "pending_records": pending_records,
     "valid_rows": valid_rows,
     "invalid_rows": invalid_rows,
@@ -481,6 +616,7 @@ QUERIES: dict[str, Query] = {
     "dim_time_hour": dim_time_hour,
     "dim_owner": dimension("dim_owner"),
     "dim_owner_dense": dimension("dim_owner", dense=True),
+    "dense_key_stable": dense_key_stable,
     "dim_vehicle": dimension("dim_vehicle"),
     "dim_location": dimension("dim_location"),
     "dim_weather": dimension("dim_weather"),
@@ -496,4 +632,8 @@ QUERIES: dict[str, Query] = {
     "job_rollup": job_rollup,
     "job_metrics": job_metrics,
     "job_rerun": job_rerun,
+    "job_fact_joined": job_fact_joined,
+    "job_gold_by_day": job_gold_by_day,
+    "job_gold_one_day": job_gold_one_day,
+    "job_gold_one_day_dims": job_gold_one_day_dims,
 }

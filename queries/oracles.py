@@ -125,6 +125,9 @@ def rollup_sql(time_sk: str) -> str:
     from fact group by 1, 2"""
 
 
+#: The day of a time key, which counts seconds in UTC.
+FACT_DAY = "cast(make_timestamp(cast(time_sk as bigint) * 1000000) as date)"
+
 SUMMARY = " union all ".join(
     f"select '{measure}' as measure, count(*) as rows from t where {condition}"
     for measure, condition in {
@@ -194,6 +197,9 @@ def widened(table: str, floats: tuple[str, ...]) -> str:
 ORACLES: dict[str, str] = {
     "flatten_nested": f"{T} select {FLAT} from t",
     "flatten_multiline": f"{T} select {FLAT} from t",
+    "flatten_documents": f"{T} select {FLAT} from t",
+    "flatten_alerts": f"{T} select vehicle_id, 'return' as type, oil_pressure as description, 'low' as severity,"
+    " strftime(eta, '%Y-%m-%d %H:%M:%S') as raised from t where weather_condition = 'R'",
     "flatten_inferred": f"{T} select owner_name, email, road_district, destination_district, rpm,"
     " is_running, temperature from t",
     "props_parse": "select event_id, cast(json_extract(props, '$.k') as bigint) as k from events",
@@ -201,6 +207,10 @@ ORACLES: dict[str, str] = {
     " count(case when p_size <> 50 then vehicle_id end) as with_vehicle from t group by 1",
     "ingest_manifest": f"{T} select count(*) as malformed_records, cast(0 as bigint) as wrong_status,"
     " cast(0 as bigint) as wrong_size, cast(0 as bigint) as wrong_path from t where p_size = 50",
+    "ingest_manifest_faults": f"{T} select 'good' as file, 'success' as status, false as with_error, count(*) as records from t"
+    " union all select 'not-compressed.json.gz', 'failed', true, 0 union all select 'cut-off.json.gz', 'failed', true, 0",
+    "bronze_payload_documents": f"{T} select passenger_count * 2 as reading, count(*) as records,"
+    " cast(0 as bigint) as malformed from t group by 1",
     "bronze_payload": f"{T} select passenger_count * 2 as new_sensor, count(*) as records,"
     " cast(0 as bigint) as malformed from t group by 1",
     "pending_records": f"{T} select weather_condition, count(*) as records from t"
@@ -230,6 +240,11 @@ ORACLES: dict[str, str] = {
         select *, row_number() over (order by owner_name nulls first, phone nulls first,
                                      email nulls first) - 1 as owner_sk
         from (select distinct owner_name, phone, email from c)""",
+    "dense_key_stable": f"""{C}, o as (
+        select owner_name, phone, email, bool_or(weather_condition = 'A') as early from c group by 1, 2, 3)
+        select owner_name, phone, email, case when early then number end as first_sk, number as owner_sk
+        from (select *, row_number() over (order by not early, owner_name nulls first, phone nulls first,
+                                           email nulls first) - 1 as number from o)""",
     "dim_vehicle": f"{GOLD} "
     + widened("dim_vehicle", ("vehicle_length", "vehicle_width", "vehicle_height")),
     "dim_location": f"{GOLD} select * from dim_location",
@@ -249,4 +264,15 @@ ORACLES: dict[str, str] = {
         union all select 'quarantined', count(*) from t where not ({ALL_RULES})
         union all select 'silver', count(*) from c
         union all select 'manifest_repeats', 0 union all select 'open_batches', 0""",
+    "job_fact_joined": f"{JOB_FACT} select * from fact",
+    "job_gold_by_day": f"{JOB_FACT} select *, {FACT_DAY} as \"date\" from fact",
+    "job_gold_one_day": f"{JOB_FACT} select *, {FACT_DAY} as \"date\" from ({rollup_sql('time_sk')})",
+    "job_gold_one_day_dims": f"""{JOB_FACT}
+        select 'dim_owner' as dimension, owner_sk as key, owner_name as text_1, phone as text_2, email as text_3,
+               cast(null as double) as number_1, cast(null as double) as number_2, cast(null as double) as number_3 from dim_owner
+        union all select 'dim_vehicle', vehicle_sk, license_number, vehicle_type, vehicle_classification,
+               cast(vehicle_length as double), cast(vehicle_width as double), cast(vehicle_height as double) from dim_vehicle
+        union all select 'dim_location', location_sk, street, district, city, null, null, null from dim_location
+        union all select 'dim_weather', weather_sk, weather_condition, null, null,
+               cast(temperature as double), cast(humidity as double), null from dim_weather""",
 }

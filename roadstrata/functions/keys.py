@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from roadstrata.workspace import materialize
+from roadstrata.workspace import materialize, partition_folders, path_exists
 
 KEY_HEX_DIGITS = 15  # 60 bits: always a non-negative BIGINT
 
@@ -83,6 +83,42 @@ def dense_key(members: DataFrame, order: Sequence[str], key: str) -> DataFrame:
     )
 
 
+def null_safe_on(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+    """Equality of all `columns`; null equals null."""
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+
+
+def stable_dense_key(members: DataFrame, order: Sequence[str], key: str, path: str) -> DataFrame:
+    """Add dense keys that stay: a member met before keeps its number, new ones get the next numbers in the order of `order`.
+
+    The table at `path` holds a number for every member ever met, a folder per call that met new ones; no number is given twice and none is left
+    out. `order` must be unique over `members`; nulls are values. A call that was cut off before its folder was complete is done again
+    under the same numbers. One writer at a time.
+    """
+    spark = members.sparkSession
+    members = materialize(members, f"{key}-members")
+    folders = [
+        folder
+        for _, folder in sorted(partition_folders(spark, path, "batch").items(), key=lambda item: int(item[0]))
+        if path_exists(spark, f"{folder}/_SUCCESS")
+    ]
+
+    def numbers(some: list[str]) -> DataFrame:
+        kinds = [f for f in members.schema if f.name in order]
+        schema = T.StructType([*kinds, T.StructField(key, T.LongType())])
+        return spark.read.schema(schema).parquet(*some) if some else spark.createDataFrame([], schema)
+
+    known = numbers(folders)
+    new = members.select(*order).join(known, null_safe_on(members, known, order), "left_anti")
+    first = known.agg(F.coalesce(F.max(key) + 1, F.lit(0))).first()[0]
+    if not new.isEmpty():
+        numbered = dense_key(new, order, key).withColumn(key, F.col(key) + first)
+        folders.append(f"{path.rstrip('/')}/batch={len(folders)}")
+        numbered.select(*order, key).write.mode("overwrite").parquet(folders[-1])
+    known = numbers(folders)
+    return members.join(known, null_safe_on(members, known, order)).select(*[members[c] for c in members.columns], known[key])
+
+
 def repeated_keys(dim: DataFrame, key: str) -> DataFrame:
     """Keys held by more than one member: must be empty for a sound dimension."""
     return dim.groupBy(key).agg(F.count("*").alias("members")).filter("members > 1")

@@ -37,31 +37,32 @@ def dim_owner(silver: DataFrame, dense: bool = False) -> DataFrame:
     return keyed(silver.select(*OWNER_KEY).distinct(), OWNER_KEY, "owner_sk", dense)
 
 
-def dim_vehicle(silver: DataFrame, dense: bool = False) -> DataFrame:
-    """Latest attributes per license. Rows of equal time are told apart by vehicle_id, which
-    with the timestamp is unique in the flat table."""
-    newest = latest_per_key(
-        silver.select(
-            "license_number",
-            "vehicle_type",
-            "vehicle_classification",
-            *[F.col(c).cast("float").alias(c) for c in ("vehicle_length", "vehicle_width", "vehicle_height")],
-            "timestamp",
-            "vehicle_id",
-        ),
-        VEHICLE_KEY,
+def latest_vehicles(silver: DataFrame, *within: str) -> DataFrame:
+    """Latest attributes per license, with the time and id they are from. Rows of equal time are told apart
+    by vehicle_id, which with the timestamp is unique in the flat table."""
+    rows = silver.select(
+        *within,
+        "license_number",
+        "vehicle_type",
+        "vehicle_classification",
+        *[F.col(c).cast("float").alias(c) for c in ("vehicle_length", "vehicle_width", "vehicle_height")],
         "timestamp",
-        ties=["vehicle_id"],
-    ).drop("timestamp", "vehicle_id")
+        "vehicle_id",
+    )
+    return latest_per_key(rows, [*within, *VEHICLE_KEY], "timestamp", ties=["vehicle_id"])
+
+
+def dim_vehicle(silver: DataFrame, dense: bool = False) -> DataFrame:
+    newest = latest_vehicles(silver).drop("timestamp", "vehicle_id")
     return keyed(newest, VEHICLE_KEY, "vehicle_sk", dense)
 
 
-def current_and_destination(silver: DataFrame) -> DataFrame:
+def current_and_destination(silver: DataFrame, *within: str) -> DataFrame:
     """Current and destination places in one column set, repeats kept; one scan."""
     roles = [
         F.struct(*[F.col(f"{role}_{c}").alias(c) for c in LOCATION_KEY]) for role in ("road", "destination")
     ]
-    return silver.select(F.inline(F.array(*roles)))
+    return silver.select(*within, F.inline(F.array(*roles)))
 
 
 def dim_location(
@@ -77,13 +78,17 @@ def dim_location(
     )
 
 
-def dim_weather(silver: DataFrame, dense: bool = False) -> DataFrame:
-    states = silver.select(
+def weather_states(silver: DataFrame, *within: str) -> DataFrame:
+    return silver.select(
+        *within,
         "weather_condition",
         same_zero("temperature").alias("temperature"),
         same_zero("humidity").alias("humidity"),
     ).distinct()
-    return keyed(states, WEATHER_KEY, "weather_sk", dense)
+
+
+def dim_weather(silver: DataFrame, dense: bool = False) -> DataFrame:
+    return keyed(weather_states(silver), WEATHER_KEY, "weather_sk", dense)
 
 
 DIMENSIONS = {
@@ -92,3 +97,23 @@ DIMENSIONS = {
     "dim_location": (dim_location, "location_sk"),
     "dim_weather": (dim_weather, "weather_sk"),
 }
+
+
+def places_of_day(silver: DataFrame) -> DataFrame:
+    """Each day's places, every one in both roles, so that they read like rows of the flat table."""
+    places = current_and_destination(silver, "date").distinct()
+    roles = [F.col(c).alias(f"{role}_{c}") for role in ("road", "destination") for c in LOCATION_KEY]
+    return places.select("date", *roles)
+
+
+#: The business key of each dimension.
+BUSINESS_KEYS = {"dim_owner": OWNER_KEY, "dim_vehicle": VEHICLE_KEY, "dim_location": LOCATION_KEY, "dim_weather": WEATHER_KEY}
+
+#: Each day's members, as rows of which the dimension is built as it is of the flat table: building from all days' members gives the same, so
+#: when a day's rows change only its own members are found anew. Latest attributes carry the time they are from.
+MEMBERS_OF_DAY = {
+    "dim_owner": lambda rows: rows.select("date", *OWNER_KEY).distinct(),
+    "dim_vehicle": lambda rows: latest_vehicles(rows, "date"),
+    "dim_location": places_of_day,
+    "dim_weather": lambda rows: weather_states(rows, "date"),
+}

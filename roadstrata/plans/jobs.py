@@ -10,11 +10,11 @@ from dataclasses import dataclass
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from roadstrata.functions.keys import repeated_keys
+from roadstrata.functions.keys import repeated_keys, stable_dense_key
 from roadstrata.operators.flatten import flatten
 from roadstrata.operators.layout import by_partition
 from roadstrata.operators.rules import RuleSet, split, telemetry_rules
-from roadstrata.plans.dims import DIMENSIONS, dim_time
+from roadstrata.plans.dims import BUSINESS_KEYS, DIMENSIONS, MEMBERS_OF_DAY, dim_time
 from roadstrata.plans.facts import GOLD_INPUT, fact_traffic, traffic_rollup
 from roadstrata.sinks.bronze import land_bronze, manifest_rows, write_manifest
 from roadstrata.sinks.gold import JdbcTarget, publish
@@ -25,14 +25,26 @@ from roadstrata.sources.files import (
     append_ledger,
     batch_id,
     declare_intent,
+    faulty_files,
     intents,
     list_inputs,
     open_batches,
     pending_files,
     read_ledger,
 )
-from roadstrata.sources.telemetry import SOURCE_FILE, read_records, read_silver, read_telemetry
-from roadstrata.workspace import SHUFFLE_WIDTH, bytes_under, partition_folders, session_setting, shuffle_width
+from roadstrata.sources.documents import read_documents
+from roadstrata.sources.telemetry import SOURCE_FILE, read_records, read_telemetry
+from roadstrata.workspace import (
+    SHUFFLE_WIDTH,
+    bytes_under,
+    discard,
+    partition_folders,
+    path_exists,
+    remove,
+    scratch_path,
+    session_setting,
+    shuffle_width,
+)
 
 
 @dataclass(frozen=True)
@@ -48,6 +60,11 @@ class Layers:
     gold: str
     metrics: str
 
+    @property
+    def state(self) -> str:
+        """What the gold job keeps by day to build its tables from."""
+        return f"{self.gold}-state"
+
     @classmethod
     def under(cls, root: str) -> Layers:
         root = root.rstrip("/")
@@ -75,12 +92,12 @@ def run_bronze(
     """Land the files not landed before and record each in the manifest.
 
     No new files: nothing is written. A malformed file is recorded as failed and
-    does not stop the others. Which files make up a batch, its name and its date are written down first
+    does not stop the others, nor does one that cannot be opened or read to its end: of that nothing is landed. Which files make up a batch, its name and its date are written down first
     and its ledger last: a run after a crash finishes open batches under their own names, replacing what
     they had written, before it takes in what has arrived since.
 
-    With `record_per_line` (JSON Lines, or arrays with an element per line) files are
-    split freely and each record keeps its text in `payload`; otherwise `multiline` documents are a task each.
+    `multiline` documents may have any layout. They are split freely, as are files with `record_per_line` (JSON Lines, or arrays with an
+    element per line), in one pass less; both keep each record's text in `payload`. Without either, files are JSON Lines and no text is kept.
     """
     ingest_date = ingest_date or dt.datetime.now(dt.timezone.utc).date().isoformat()
     metrics = RunMetrics(f"bronze-{ingest_date}")
@@ -93,17 +110,36 @@ def run_bronze(
         listing = intents(spark, declared, batch).drop("ingest_date", "batch")
         # The reader takes its paths on the driver, as every file scan does: one string per new file.
         paths = [row.read_path for row in listing.select("read_path").toLocalIterator()]
-        with metrics.stage("land"):
+        faults: dict[str, str] = {}
+        scratch = scratch_path(spark, "documents")
+
+        def land_files(some: Sequence[str]) -> None:
             if record_per_line:
-                raw = read_records(spark, paths)
+                raw = read_records(spark, some)
+            elif multiline:
+                raw = read_documents(spark, some, scratch=scratch)
             else:
-                raw = read_telemetry(spark, paths, multiline)
-            # Lines already come in even splits; a document is one task until it is spread.
-            land_bronze(raw, layers.bronze, day, batch, rebalance=multiline and not record_per_line)
+                raw = read_telemetry(spark, some, multiline=False)
+            # All come in even splits, so nothing is spread anew.
+            land_bronze(raw, layers.bronze, day, batch, rebalance=False)
+
+        with metrics.stage("land"):
+            try:
+                land_files(paths)
+            except Exception:
+                faults = faulty_files(spark, paths)
+                if not faults:
+                    raise
+                discard(spark, scratch)
+                if good := [p for p in paths if p not in faults]:
+                    land_files(good)
+            discard(spark, scratch)
+        if faults:
+            metrics.record("faulty_files", len(faults))
         with metrics.stage("manifest") as stage:
             target = f"{layers.bronze}/ingest_date={day}/batch={batch}"
-            landed = spark.read.parquet(target)
-            write_manifest(manifest_rows(listing, landed, target, day, batch), layers.manifest)
+            landed = spark.read.parquet(target) if len(faults) < len(paths) else None
+            write_manifest(manifest_rows(listing, landed, target, day, batch, faults=faults), layers.manifest)
             stage.rows = len(paths)
         append_ledger(listing, layers.bronze_ledger)
 
@@ -189,6 +225,63 @@ def run_silver(
     return metrics
 
 
+def member_days(
+    spark: SparkSession,
+    layers: Layers,
+    name: str,
+    rows_of: Callable[[Collection[str | None] | None], DataFrame],
+    wanted: Collection[str] | None,
+) -> DataFrame:
+    """Each day's members of a dimension, found anew for the days `wanted` and those not met before, or for all (None).
+
+    One table, far smaller than the flat one, written as a new version: a run that is cut off leaves the old one.
+    """
+    path = f"{layers.state}/{name}"
+    versions = [v for v, f in partition_folders(spark, path, "version").items() if path_exists(spark, f"{f}/_SUCCESS")]
+    last = max(map(int, versions), default=-1)
+    kept, days = None, None
+    if wanted is not None and last >= 0:
+        old = spark.read.parquet(f"{path}/version={last}")
+        known = {None if r.date is None else str(r.date) for r in old.select("date").distinct().collect()}
+        days = [d for d in partition_folders(spark, layers.silver, "date") if d not in known or d in wanted]
+        renewed = F.coalesce(F.col("date").cast("string").isin([d for d in days if d is not None]), F.lit(None in days))
+        kept = old.filter(~renewed)
+    members = MEMBERS_OF_DAY[name](rows_of(days))
+    if kept is not None:
+        members = kept.unionByName(members)
+    members.write.mode("overwrite").parquet(f"{path}/version={last + 1}")
+    for v in versions:
+        remove(spark, f"{path}/version={v}")
+    return spark.read.parquet(f"{path}/version={last + 1}")
+
+
+def of_days(path: str, spark: SparkSession, days: Collection[str | None] | None) -> DataFrame:
+    """The table at `path`, or only the folders of `days`, which must be there."""
+    if days is None:
+        return spark.read.parquet(path)
+    there = partition_folders(spark, path, "date")
+    folders = [there[day] for day in sorted(days, key=str) if day in there]
+    if not folders:
+        return spark.read.parquet(path).limit(0)
+    read = spark.read.option("basePath", path).parquet(*folders)
+    return read.withColumn("date", F.col("date").cast("date"))
+
+
+def _rolled_up_days(days: Collection[str | None] | None, grain: str) -> tuple[Collection | None, Collection | None]:
+    """(days of groups that rows of `days` can belong to, days whose rows can belong to these groups).
+
+    Only an hour may begin on the day before, where the zone is off by a part of an hour.
+    """
+    if days is None or grain != "hour":
+        return days, days
+
+    def beside(some: set, by: int) -> set:
+        return some | {str(dt.date.fromisoformat(d) + dt.timedelta(days=by)) for d in some if d}
+
+    groups = beside(set(days), -1)
+    return groups, beside(groups, 1)
+
+
 def run_gold(
     spark: SparkSession,
     layers: Layers,
@@ -203,15 +296,18 @@ def run_gold(
     jdbc: JdbcTarget | None = None,
     cache_silver: bool = False,
     parallel: int = 4,
+    stable: Collection[str] = (),
 ) -> RunMetrics:
     """Build the dimensions, then the fact and its rollup, each evaluated once.
 
     The fact is stored by day and rebuilt day by day, all days or just `dates`, so a
-    rerun replaces its rows; `fact_mode="append"` adds them again instead. Without
-    `partition_fact` it is one flat table, and a rerun rebuilds all of it.
+    rerun replaces its rows; `fact_mode="append"` adds them again instead. Beside it each day's members of every
+    dimension are kept (`layers.state`), and the rollup is stored by day: with `dates`, only these days of the flat table and of the
+    fact are read, and those not met before; dimensions are built from all days' members, and the rollup is rebuilt for the days' groups. Without `partition_fact` all is one flat table each, and a rerun rebuilds all of it.
     `resolve` is how fact rows find their keys: "derive" or "join". Dimensions named in
     `dense` are numbered 0..n-1; those numbers move as members arrive, so they need
-    "join" and a fact rebuilt as a whole. `cache_silver` keeps the columns in use on
+    "join" and a fact rebuilt as a whole. Those named in `stable` have dense numbers too, but members keep them from run to run
+    (`layers.state` holds the numbers), so single days can be rebuilt; they need "join" as well. `cache_silver` keeps the columns in use on
     the executors: worth it while they fit there, above all when the days are many
     and thin; beyond that each table's scan reads only its own columns anyway. A
     lost executor's part is read again.
@@ -222,11 +318,23 @@ def run_gold(
         raise ValueError("single days can only be rebuilt in a fact stored by day")
     if dense and (resolve == "derive" or dates is not None or fact_mode == "append"):
         raise ValueError("dense keys need resolve='join' and a fact rebuilt as a whole")
+    if stable and (resolve == "derive" or set(stable) & set(dense)):
+        raise ValueError("stable keys need resolve='join', and a dimension has one kind of key")
     metrics = RunMetrics("gold")
-    with session_setting(spark, SHUFFLE_WIDTH, str(shuffle_width(spark, layers.silver))):
-        silver = read_silver(spark, layers.silver, columns=GOLD_INPUT)
-        if cache_silver:
-            silver = silver.persist(StorageLevel.MEMORY_AND_DISK)
+    by_day = ("date",) if partition_fact else ()
+    wanted = None if dates is None else {str(d) for d in dates}
+    read = [layers.silver]
+    if wanted is not None:
+        read = [f for day, f in partition_folders(spark, layers.silver, "date").items() if day in wanted]
+    with session_setting(spark, SHUFFLE_WIDTH, str(shuffle_width(spark, *read))):
+        cached: list[DataFrame] = []
+
+        def silver_of(days: Collection[str | None] | None) -> DataFrame:
+            rows = of_days(layers.silver, spark, days).select(*GOLD_INPUT)
+            if cache_silver:
+                rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+                cached.append(rows)
+            return rows
 
         def store(name: str, df: DataFrame, **how) -> DataFrame:
             with metrics.stage(name) as stage:
@@ -235,9 +343,20 @@ def run_gold(
                 stage.rows = written.get["rows"]
             return stored
 
+        rows = silver_of(None if wanted is None else list(wanted))
+
         def build_dim(name: str) -> DataFrame:
             build, key = DIMENSIONS[name]
-            stored = store(name, build(silver, dense=name in dense))
+            members = rows
+            if partition_fact:
+                # The rows at hand serve where they are of the days asked for.
+                rows_of = lambda days: rows if (days and set(days)) == wanted else silver_of(days)
+                members = member_days(spark, layers, name, rows_of, wanted)
+            built = build(members, dense=name in dense)
+            if name in stable:
+                columns = built.columns
+                built = stable_dense_key(built.drop(key), BUSINESS_KEYS[name], key, f"{layers.state}/keys_{name}").select(*columns)
+            stored = store(name, built)
             if not repeated_keys(stored, key).isEmpty():
                 raise ValueError(f"{name}: two members share a {key}; use dense keys")
             return stored
@@ -252,8 +371,6 @@ def run_gold(
             running = {n: pool.submit(inheritable_thread_target(spark)(t)) for n, t in tasks.items()}
             dims = {name: future.result() for name, future in running.items()}
 
-        rows = silver if dates is None else silver.filter(F.col("date").isin(list(dates)))
-        by_day = ("date",) if partition_fact else ()
         fact = fact_traffic(rows, dims if resolve == "join" else None, null_safe, keep=by_day)
         if by_day and resolve == "join":
             fact = by_partition(fact, "date")
@@ -262,7 +379,20 @@ def run_gold(
             "fact_traffic", fact, mode=fact_mode, partition_by=by_day,
             keep_other_partitions=dates is not None,
         )
-        store("fact_traffic_minute_agg", traffic_rollup(stored, grain))
-        if cache_silver:
-            silver.unpersist()
+        if not by_day:
+            store("fact_traffic_minute_agg", traffic_rollup(stored, grain))
+        else:
+            # The state of a day is its part of the fact; only days that can hold rows of the groups are read.
+            groups, their_rows = _rolled_up_days(None if wanted is None else list(wanted), grain)
+            rolled = traffic_rollup(of_days(f"{layers.gold}/fact_traffic", spark, their_rows), grain)
+            rolled = rolled.withColumn("date", F.to_date(F.timestamp_seconds("time_sk")))
+            if groups is not None:
+                own = F.col("date").cast("string").isin([d for d in groups if d is not None])
+                rolled = rolled.filter(own | F.col("date").isNull() if None in groups else own)
+            store(
+                "fact_traffic_minute_agg", by_partition(rolled, "date"), partition_by=by_day,
+                keep_other_partitions=groups is not None,
+            )
+        for df in cached:
+            df.unpersist()
     return metrics

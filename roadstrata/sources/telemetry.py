@@ -22,9 +22,8 @@ def read_telemetry(
     """Raw JSON (a file, folders or globs) under the fixed schema, plus its source file.
 
     Bad leaves become null and, with `corrupt_column`, the text of a malformed
-    record is kept. `multiline` documents cannot be split: each file is one task, and the text of
-    a malformed one is taken whole. Of large documents only those with a record per line should be read, by
-    read_records(). JSON Lines (`multiline=False`) splits freely.
+    record is kept. `multiline` documents are not split: each file is one task, and the text of
+    a malformed one is taken whole. documents.read_documents() splits them. JSON Lines (`multiline=False`) splits freely.
     """
     reader = spark.read.schema(telemetry_schema(corrupt_column)).option("multiLine", multiline)
     if corrupt_column:
@@ -51,7 +50,11 @@ def read_records(
     lines = reader.text(paths).select(F.trim("value").alias("line"), F.col("_metadata.file_path").alias(SOURCE_FILE))
     # An opening bracket before a record, then a comma or closing bracket after it.
     bare = F.regexp_replace(F.regexp_replace("line", r"^\[\s*(?=\{|$)", ""), r"(?:^|(?<=\}))\s*[,\]]+\s*$", "")
-    records = lines.select(bare.alias("payload"), SOURCE_FILE).filter("payload <> ''")
+    return parsed_records(lines.select(bare.alias("payload"), SOURCE_FILE).filter("payload <> ''"))
+
+
+def parsed_records(records: DataFrame) -> DataFrame:
+    """(payload, source_file) under the fixed schema; a payload that cannot be parsed is also its record's malformed text."""
     options = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
     parsed = records.withColumn("record", F.from_json("payload", telemetry_schema(), options))
     return parsed.select("record.*", "payload", SOURCE_FILE)

@@ -57,6 +57,11 @@ def discard(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table of this application once its rows are stored elsewhere."""
     if not path.startswith(_own_folder(spark) + "/"):
         raise ValueError(f"{path} is not an intermediate table of this application")
+    remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what is at `path`, if anything."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 

@@ -1,0 +1,274 @@
+"""Documents of any layout, cut into records over byte ranges; files that cannot be read; gold kept up by day."""
+
+import datetime as dt
+import glob
+import gzip
+import json
+import os
+import random
+from dataclasses import replace
+from types import SimpleNamespace
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from roadstrata.functions.keys import stable_dense_key
+from roadstrata.plans.jobs import Layers, of_days, run_bronze, run_gold, run_silver
+from roadstrata.schema import CORRUPT
+from roadstrata.sources import documents
+from roadstrata.sources.files import faulty_files
+from roadstrata.sources.telemetry import SOURCE_FILE
+from tests.records import record, write_document, write_lines
+from tests.test_jobs import SHORT, day, rows
+
+
+@pytest.fixture
+def layers(tmp_path):
+    return Layers.under(str(tmp_path / "lake"))
+
+
+# --- the cutter, split by split ---
+
+
+def pieces_of(data: bytes, splits: list[int]):
+    """Pieces between closing braces with the split in which each begins, as the reader gives them."""
+    found, at = {}, 0
+    while at < len(data):
+        end = data.find(b"}", at)
+        piece, after = (data[at:end], end + 1) if end >= 0 else (data[at:], len(data))
+        found.setdefault(max(s for s in splits if s <= at), []).append(piece)
+        at = after
+    return found
+
+
+def cut(data: bytes, splits: list[int], step: int = 3) -> list[tuple[bytes, bool]]:
+    """(text, whether it was ended) of each record."""
+    names = ["value", "file", "start", "size"]
+
+    def batches(start, held):
+        for i in range(0, len(held), step):
+            some = held[i : i + step]
+            columns = [pa.array(some, pa.binary()), *(pa.array([v] * len(some)) for v in ("f", start, len(data)))]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    found = pieces_of(data, splits)
+    effects = [SimpleNamespace(**r) for s, held in found.items() for b in documents._effects(batches(s, held)) for r in b.to_pylist()]
+    run = documents._cut(SimpleNamespace(value=documents._beginnings(effects)))
+    out = sorted((r for s, held in found.items() for b in run(batches(s, held)) for r in b.to_pylist()), key=lambda r: (r["start"], r["nth"]))
+    records = []
+    for r in out:
+        if r["first"]:
+            records.append((b"", False))
+        records[-1] = (records[-1][0] + r["text"], r["last"])
+    return records
+
+
+def test_records_of_any_layout_and_split(monkeypatch):
+    rng = random.Random(1)
+
+    def made(depth=0):
+        values = [1, None, "x", "}{", '"}', "\\", '\\"}{"', "é}", [1, 2], [{"z": "}"}]]
+        return {k: made(depth + 1) if depth < 3 and rng.random() < 0.2 else rng.choice(values) for k in rng.sample(["a", "b{", "c}", 'd"x', "e\\", "f[]"], rng.randint(0, 4))}
+
+    for _ in range(500):
+        monkeypatch.setattr(documents, "FRAGMENT", rng.choice([1, 10, 1 << 20]))
+        wanted = [made() for _ in range(rng.randint(0, 6))]
+        text = rng.choice(
+            [json.dumps(wanted, indent=rng.choice([None, 1, 2])), "\n".join(map(json.dumps, wanted)), "﻿" + json.dumps(wanted, ensure_ascii=False) + "\r\n"]
+        )
+        data = text.encode()
+        splits = sorted({0, *(rng.randrange(len(data)) for _ in range(rng.randint(0, 5)))}) if data else [0]
+        got = cut(data, splits, rng.choice([1, 3, 100]))
+        assert [json.loads(t) for t, _ in got] == wanted and all(e for _, e in got)
+        if len(data) > 4:
+            # Cut off anywhere, all whole records are there and one more that is not.
+            short = data[: rng.randrange(4, len(data))]
+            got = cut(short, [s for s in splits if s < len(short)])
+            good = [t for t, ended in got if ended]
+            assert [json.loads(t) for t in good] == wanted[: len(good)] and len(got) <= len(good) + 1
+
+
+def test_what_is_no_record_is_kept_as_malformed():
+    assert cut(b'{"a": 1} , rubbish {"b": 2}]\n] 17', [0, 9]) == [(b'{"a": 1}', True), (b"rubbish", True), (b'{"b": 2}', True), (b"17", True)]
+    assert cut(b'}} {"a": {"b": 1}', [0]) == [(b"}", True), (b"}", True), (b'{"a": {"b": 1}', False)]
+    assert cut(b"", [0]) == cut(b"[]\n", [0]) == cut(b" \n", [0]) == []
+
+
+# --- files ---
+
+
+def records_in(spark, path, **options):
+    return documents.document_records(spark, str(path), **options)
+
+
+def test_documents_over_many_splits(spark, tmp_path, settings, monkeypatch):
+    many = [record(vehicle_id=f"V{i}", owner__name='br}ace "{"') for i in range(3000)]
+    write_document(tmp_path / "a.json", many[:2000])
+    (tmp_path / "b.json").write_text(json.dumps(many[2000:]))
+    with gzip.open(tmp_path / "c.json.gz", "wt") as f:
+        f.write(json.dumps(many[:10], indent=1))
+    (tmp_path / "d.json").write_text("")
+    settings(spark__sql__files__maxPartitionBytes="50000")
+    monkeypatch.setattr(documents, "LEAST_SPLIT", 50_000)
+    out = records_in(spark, tmp_path)
+    got = sorted(json.loads(r.payload)["vehicle_id"] for r in out.collect())
+    assert got == sorted([r["vehicle_id"] for r in many] + [f"V{i}" for i in range(10)])
+    per_file = {r[0].rsplit("/", 1)[-1]: r[1] for r in out.groupBy(SOURCE_FILE).count().collect()}
+    assert per_file == {"a.json": 2000, "b.json": 1000, "c.json.gz": 10}
+    flat = documents.read_documents(spark, str(tmp_path / "a.json"))
+    assert flat.filter(F.col(CORRUPT).isNull()).select("owner.name").distinct().collect() == [('br}ace "{"',)]
+
+
+def test_a_brace_that_is_never_closed_is_not_gathered(spark, tmp_path, settings, monkeypatch):
+    good = json.dumps(record(vehicle_id="V1"))
+    (tmp_path / "a.json").write_text(f'[{good}, {{"open": {", ".join([good] * 400)}]')
+    settings(spark__sql__files__maxPartitionBytes="40000")
+    monkeypatch.setattr(documents, "LEAST_SPLIT", 40_000)
+    monkeypatch.setattr(documents, "WHOLE", 100_000)
+    out = documents.read_documents(spark, str(tmp_path))
+    read = out.select("vehicle_id", F.length(F.coalesce(CORRUPT, F.lit(""))).alias("bad")).collect()
+    assert [r.vehicle_id for r in read if not r.bad] == ["V1"]
+    bad = [r.bad for r in read if r.bad]
+    assert len(bad) > 3 and sum(bad) > 400 * len(good) and max(bad) < 100_000
+
+
+def test_faulty_files_do_not_stop_the_others(spark, tmp_path, layers):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    write_document(inbox / "good.json", [day(1), day(2)])
+    (inbox / "plain.json.gz").write_text("not compressed")
+    whole = gzip.compress(json.dumps([record(vehicle_id=f"V{i}", owner__name=str(random.Random(i).random())) for i in range(500)]).encode())
+    (inbox / "cut.json.gz").write_bytes(whole[: len(whole) // 2])
+    faults = faulty_files(spark, [f"file:{inbox}/{n}" for n in ("good.json", "plain.json.gz", "cut.json.gz")])
+    assert sorted(p.rsplit("/", 1)[-1] for p in faults) == ["cut.json.gz", "plain.json.gz"]
+    metrics = run_bronze(spark, str(inbox), layers, "2024-03-05", pattern="*.json*").rows()
+    assert metrics["faulty_files"] == 2
+    manifest = {r.file_name: r for r in spark.read.parquet(layers.manifest).collect()}
+    assert {n: r.status for n, r in manifest.items()} == {"good.json": "success", "plain.json.gz": "failed", "cut.json.gz": "failed"}
+    assert "EOF" in manifest["cut.json.gz"].error_msg or "end of" in manifest["cut.json.gz"].error_msg
+    assert spark.read.parquet(layers.bronze).count() == 2
+    # They are in the ledger: nothing is left to do, until they come under another name.
+    assert run_bronze(spark, str(inbox), layers, "2024-03-06", pattern="*.json*").rows()["listed_files"] == 0
+
+
+def test_only_faulty_files(spark, tmp_path, layers):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "plain.json.gz").write_text("not compressed")
+    run_bronze(spark, str(inbox), layers, "2024-03-05", pattern="*.json*")
+    assert [r.status for r in spark.read.parquet(layers.manifest).collect()] == ["failed"]
+
+
+def test_documents_keep_unknown_fields(spark, tmp_path, layers):
+    write_document(tmp_path / "a.json", [record(sensors={"front": {"value": i}}) for i in range(3)])
+    run_bronze(spark, str(tmp_path), layers, "2024-03-05")
+    value = F.variant_get(F.parse_json("payload"), "$.sensors.front.value", "int")
+    assert sorted(r[0] for r in spark.read.parquet(layers.bronze).select(value).collect()) == [0, 1, 2]
+
+
+# --- gold by day ---
+
+TABLES = ["dim_owner", "dim_vehicle", "dim_location", "dim_weather", "fact_traffic", "fact_traffic_minute_agg"]
+
+
+def gold(spark, layers):
+    return {name: rows(spark.read.parquet(f"{layers.gold}/{name}")) for name in TABLES}
+
+
+@pytest.mark.parametrize("grain, zone", [("second", "UTC"), ("minute", "UTC"), ("hour", "UTC"), ("hour", "Asia/Kolkata")])
+def test_days_that_change_give_what_a_full_run_gives(spark, tmp_path, layers, settings, grain, zone):
+    settings(spark__sql__session__timeZone=zone)
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    first = [day(d, m, vehicle_id=f"V{d}{m}", owner__license_number=f"L{m % 3}") for d in (1, 2, 3) for m in range(0, 50, 9)]
+    write_lines(inbox / "a.json", first)
+    late = [
+        record(vehicle_id=f"W{m}", owner__name="New", road__street="Elsewhere", owner__license_number=f"L{m % 3}", vehicle_type="Bus",
+               timestamp=f"2024-03-02T{h:02}:{m:02}:00Z", estimated_time_of_arrival__eta="2024-03-04T00:00:00Z")
+        for m in range(0, 60, 7) for h in (0, 18, 23)
+    ]
+    run_bronze(spark, str(inbox), layers, "2024-03-05", record_per_line=True)
+    run_silver(spark, layers)
+    run_gold(spark, layers, SHORT, grain=grain)
+    write_lines(inbox / "b.json", late)
+    run_bronze(spark, str(inbox), layers, "2024-03-06", record_per_line=True)
+    run_silver(spark, layers)
+    days = [dt.date(2024, 3, 2), dt.date(2024, 3, 3)]
+    run_gold(spark, layers, SHORT, dates=days, grain=grain)
+    by_day = gold(spark, layers)
+    again = replace(layers, gold=f"{layers.gold}-again")
+    run_gold(spark, again, SHORT, grain=grain)
+    assert by_day == gold(spark, again)
+    flat = replace(layers, gold=f"{layers.gold}-flat")
+    run_gold(spark, flat, SHORT, grain=grain, partition_fact=False)
+    whole = gold(spark, flat)
+    assert {n: whole[n] for n in TABLES[:4]} == {n: by_day[n] for n in TABLES[:4]}
+    assert len(whole["fact_traffic"]) == len(by_day["fact_traffic"]) == len(first) + len(late)
+    strip = lambda t: rows(spark.read.parquet(f"{t.gold}/fact_traffic_minute_agg").select("cur_location_sk", "time_sk", "traffic_count", F.round("avg_speed", 6).alias("s")))
+    assert strip(flat) == strip(layers)
+
+
+def test_a_run_of_one_day_opens_one_day(spark, tmp_path, layers):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    write_lines(inbox / "a.json", [day(d, m, vehicle_id=f"V{d}{m}") for d in (1, 2, 3) for m in range(3)])
+    run_bronze(spark, str(inbox), layers, "2024-03-05", record_per_line=True)
+    run_silver(spark, layers)
+    run_gold(spark, layers, SHORT)
+    opened = {f.split("date=")[1].split("/")[0] for f in of_days(layers.silver, spark, ["2024-03-02"]).inputFiles()}
+    assert opened == {"2024-03-02"}
+    # Nothing of other days is read: their files may be gone.
+    for f in glob.glob(f"{layers.silver}/date=2024-03-0[13]/*.parquet"):
+        os.truncate(f, 0)
+    before = gold(spark, layers)
+    run_gold(spark, layers, SHORT, dates=[dt.date(2024, 3, 2)])
+    assert gold(spark, layers) == before
+
+
+def test_state_that_is_missing_is_made_up(spark, tmp_path, layers):
+    write_lines(tmp_path / "a.json", [day(d, vehicle_id=f"V{d}", owner__name=f"N{d}") for d in (1, 2)])
+    run_bronze(spark, str(tmp_path), layers, "2024-03-05", record_per_line=True)
+    run_silver(spark, layers)
+    run_gold(spark, layers, SHORT, dates=[dt.date(2024, 3, 2)])
+    assert spark.read.parquet(f"{layers.gold}/dim_owner").count() == 2
+    assert spark.read.parquet(f"{layers.gold}/fact_traffic").count() == 1
+
+
+# --- keys that stay ---
+
+
+def test_dense_keys_stay(spark, tmp_path):
+    path = str(tmp_path / "numbers")
+
+    def keyed(*members):
+        df = spark.createDataFrame(members, "a string, b int, extra int")
+        return {(r.a, r.b): (r.k, r.extra) for r in stable_dense_key(df, ["a", "b"], "k", path).collect()}
+
+    assert keyed(("x", 1, 7), ("x", None, 8), (None, None, 9)) == {(None, None): (0, 9), ("x", None): (1, 8), ("x", 1): (2, 7)}
+    assert keyed(("x", 1, 5)) == {("x", 1): (2, 5)}
+    assert keyed(("a", 1, 1), ("x", None, 2), ("z", 0, 3)) == {("a", 1): (3, 1), ("x", None): (1, 2), ("z", 0): (4, 3)}
+    # A folder that was not completed does not count, and is written again.
+    os.makedirs(f"{path}/batch=2")
+    assert keyed(("q", 1, 0)) == {("q", 1): (5, 0)} and keyed(("q", 1, 0), ("r", 1, 0)) == {("q", 1): (5, 0), ("r", 1): (6, 0)}
+    assert stable_dense_key(spark.createDataFrame([], "a string, b int, extra int"), ["a", "b"], "k", path).count() == 0
+
+
+def test_gold_with_keys_that_stay(spark, tmp_path, layers):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    write_lines(inbox / "a.json", [day(1, vehicle_id="V1", owner__name="M"), day(2, vehicle_id="V2", owner__name="Z")])
+    run_bronze(spark, str(inbox), layers, "2024-03-05", record_per_line=True)
+    run_silver(spark, layers)
+    run_gold(spark, layers, SHORT, resolve="join", stable=["dim_owner"])
+    numbers = lambda: {r.owner_name: r.owner_sk for r in spark.read.parquet(f"{layers.gold}/dim_owner").collect()}
+    assert numbers() == {"M": 0, "Z": 1}
+    write_lines(inbox / "b.json", [day(2, 5, vehicle_id="V3", owner__name="A")])
+    run_bronze(spark, str(inbox), layers, "2024-03-06", record_per_line=True)
+    run_silver(spark, layers)
+    run_gold(spark, layers, SHORT, dates=[dt.date(2024, 3, 2)], resolve="join", stable=["dim_owner"])
+    assert numbers() == {"M": 0, "Z": 1, "A": 2}
+    fact = {r.traffic_vehicle_id: r.owner_sk for r in spark.read.parquet(f"{layers.gold}/fact_traffic").collect()}
+    assert fact == {"V1": 0, "V2": 1, "V3": 2}
+    with pytest.raises(ValueError):
+        run_gold(spark, layers, SHORT, stable=["dim_owner"])
