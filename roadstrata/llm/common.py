@@ -30,6 +30,27 @@ def uniform(*parts: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(1 << 53))
 
 
+#: Numbers in an array at most when rows are repeated.
+RANGE = 65_536
+
+
+def repeated(df: DataFrame, rows: Column, name: str, first: Column | None = None) -> DataFrame:
+    """`df` with each row as often as `rows` (1 or more) says, numbered in `name` from `first` (1).
+
+    Ranges of numbers come first and their numbers then, so that a row that stands for very many never becomes one long array.
+    """
+    first = F.lit(1).cast("long") if first is None else first
+    part = unused_name(df, "range")
+    ranges = df.withColumn(part, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((rows - 1) / RANGE).cast("long"))))
+    start = first + F.col(part) * RANGE
+    return ranges.withColumn(name, F.explode(F.sequence(start, F.least(first + rows - 1, start + RANGE - 1)))).drop(part)
+
+
+def content_key(df: DataFrame, seed: int) -> Column:
+    """A 64-bit key of all columns of a row; null is a value of its own in each."""
+    return F.xxhash64(F.lit(seed), *[x for c in df.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))])
+
+
 def shared_bytes(spark: SparkSession, path: str):
     """The bytes of a vocabulary file (below 2 MB each), read by the driver and sent to the executors."""
     with open(path, "rb") as f:

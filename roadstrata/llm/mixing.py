@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from roadstrata.functions.keys import dense_key
-from roadstrata.llm.common import stored, uniform, unused_name
+from roadstrata.llm.common import content_key, repeated, stored, uniform, unused_name
+from roadstrata.llm.sharding import stable_key
 
 #: A source takes at most so many times its own words.
 MOST = 3
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (1, 2, 3)
+CONTENT = 3
 #: Documents that meet in one node of the reduction tree, on average.
 NODE = 64
 
+#: What draws depend on: the same for the report and for the documents themselves.
+DRAWN = ("doc_id", "source", "size", "content", "nth")
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -57,8 +63,8 @@ def source_targets(sizes: DataFrame, most: int = MOST, weights: tuple[int, ...]
     return ranked.select("source", "source_size", "n", target.alias("target"))
 
 
-def rounded_copies(units: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame:
-    """`units` (key columns, source, size; no two rows alike) with source_size, target and whole `copies`.
+def rounded_copies(units: DataFrame, targets: DataFrame, seed: int = 17, drawn: Sequence[str] | None = None) -> DataFrame:
+    """`units` (source, size and other columns; no two rows alike) with source_size, target and whole `copies`.
 
     A source's documents all get target / source_size copies. The whole part is certain. The rest is
     rounded by pivots: two documents of a source, with sizes a and b and shares p and q, shift
@@ -67,7 +73,7 @@ def rounded_copies(units: DataFrame, targets: DataFrame, seed: int = 17) -> Data
     to one that is still open, and the open ones meet in the nodes of the next level. The last one of a source goes to the
     nearer side, so a source misses its target by half of one document at most.
 
-    Documents without words draw alone. All draws come from the rows themselves: reruns agree.
+    Documents without words draw alone. All draws come from the columns `drawn` (default: all), which should tell rows apart: reruns agree.
     A node is a hash class of a source, so no source, however large, meets in one task before it is folded.
     """
     columns = units.columns
@@ -76,7 +82,7 @@ def rounded_copies(units: DataFrame, targets: DataFrame, seed: int = 17) -> Data
         units.withColumnRenamed("source", "own")
         .join(targets, F.col("own").eqNullSafe(F.col("source")))
         .drop("own")
-        .withColumns({"rate": rate, "draw": F.xxhash64(F.lit(seed), *columns)})
+        .withColumns({"rate": rate, "draw": F.xxhash64(F.lit(seed), stable_key(*[F.col(c) for c in drawn or columns]))})
         .withColumn("whole", F.floor(F.col("rate") + 1e-9))
         .withColumn("share", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0)))
         .withColumn("node", F.pmod(F.xxhash64(F.lit(seed + 1), "draw"), F.ceil(F.col("n") / NODE)))
@@ -151,43 +157,41 @@ def mix_report(docs: DataFrame) -> DataFrame:
     key. Extra columns are not used; an empty table gives no rows.
     """
     units = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size"))
-        .groupBy("doc_id", "source", "size")
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size"),
+            content_key(docs, CONTENT).alias("content"),
+        )
+        .groupBy("doc_id", "source", "size", "content")
         .agg(F.count("*").alias("rows"))
-    )
+    )
     units = stored(units, "units")
-    targets = source_targets(units)
-    each = units.select("doc_id", "source", "size", F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("nth"))
-    return rounded_copies(each, targets).select(
+    each = repeated(units, F.col("rows"), "nth").drop("rows")
+    return rounded_copies(each, source_targets(units), drawn=DRAWN).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken")
     )
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """`docs` with each row as often as the mix takes it; columns as in `docs`. Laws as in mix_report().
+    """`docs` with each row as often as the mix takes it; columns as in `docs`. Laws and draws as in mix_report().
 
-    Equal rows are gathered and counted before anything is joined; their copies add up.
+    Equal rows are gathered and counted before anything is joined; their copies add up. Rows that differ in any
+    column, a null in one place from a null in another too, are taken each for itself.
     """
     columns = docs.columns
     counted = unused_name(docs, "mix_rows")
     distinct = docs.groupBy(*columns).agg(F.count("*").alias(counted))
+    # Stored with the number, so that it names one row for good.
     keyed = distinct.select(
-        F.xxhash64(F.lit(3), *columns).alias("mix_key"), F.struct(*columns).alias("mix_row"), F.col(counted).alias("mix_rows")
-    )
+        F.monotonically_increasing_id().alias("mix_id"), content_key(docs, CONTENT).alias("content"),
+        F.struct(*columns).alias("mix_row"), F.col(counted).alias("mix_rows"),
+    )
     keyed = stored(keyed, "rows")
     units = keyed.select(
-        "mix_key", F.col("mix_row.doc_id").alias("doc_id"), F.col("mix_row.source").cast("string").alias("source"),
-        word_count("mix_row.text").alias("size"), F.col("mix_rows").alias("rows"),
+        "mix_id", F.col("mix_row.doc_id").cast("long").alias("doc_id"), F.col("mix_row.source").cast("string").alias("source"),
+        word_count("mix_row.text").alias("size"), "content", F.col("mix_rows").alias("rows"),
     )
     units = stored(units, "units")
-    each = units.select("mix_key", "doc_id", "source", "size", F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("nth"))
-    taken = (
-        rounded_copies(each, source_targets(units))
-        .groupBy("mix_key", "doc_id")
-        .agg(F.sum("copies").alias("copies"))
-        .filter("copies > 0")
-        .withColumnRenamed("mix_key", "key")
-    )
-    same = (F.col("mix_key") == F.col("key")) & F.col("mix_row.doc_id").eqNullSafe(F.col("doc_id"))
-    joined = keyed.join(taken, same).select("mix_row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("nth"))
-    return joined.select("mix_row.*")
+    each = repeated(units, F.col("rows"), "nth").drop("rows")
+    taken = rounded_copies(each, source_targets(units), drawn=DRAWN).groupBy("mix_id").agg(F.sum("copies").alias("copies")).filter("copies > 0")
+    joined = keyed.select("mix_id", "mix_row").join(taken, "mix_id")
+    return repeated(joined, F.col("copies"), "nth").select("mix_row.*")

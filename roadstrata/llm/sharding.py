@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from roadstrata.llm.common import stored
+from roadstrata.llm.common import repeated, stored
 
 SHARDS = 24
 #: Distinct rows that one task of the slot numbering holds on average.
@@ -107,12 +107,7 @@ def shard_slots(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     first = F.col("start") + F.coalesce(F.sum("rows").over(inside), F.lit(0))
-    return (
-        placed.join(starts, ["shard", "cell"])
-        .withColumn("first", first)
-        .select(
-            "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
-            F.explode(F.sequence("first", F.col("first") + F.col("rows") - 1)).alias("slot"),
-            "grown_shard",
-        )
-    )
+    numbered = placed.join(starts, ["shard", "cell"]).withColumn("first", first)
+    return repeated(numbered, F.col("rows"), "slot", F.col("first")).select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
+    )
