@@ -91,10 +91,12 @@ FAMILIES = [
     ("zlib", (" zlib ",), r"zlib(?: libpng)? licen[sc]e", r"zlib", r"opensource org licenses zlib"),
     ("zpl", (" zope ", " zpl "), rf"zope public licen[sc]e(?: {V}[12] [01])?", r"zpl [12] [01]", r"zope org resources zpl"),
     ("all-rights-reserved", ("rights reserved", "rights are reserved", "no part of this"), r"all rights (?:are )?reserved", r"rights reserved worldwide", r"no part of this (?:publication|work|document) may be reproduced"),
-    ("copyright-notice", ("copyright",), r"copyright (?:c )?(?:19|20)\d\d(?: (?:19|20)\d\d)*", r"copyright c", r"copyright notice and this permission notice"),
+    ("copyright-notice", ("copyright",), r"copyright (?:c )?(?:19|20)\d\d(?: (?:19|20)\d\d(?= ))*+", r"copyright c", r"copyright notice and this permission notice"),
 ]
 
-GRANT = r"(?:licensed|licenced|released|distributed|redistributed|published|provided|available|covered|offered|shared|reuse) (?:under|by|according to|subject to|in accordance with)(?: (?:the|a|an|terms|and|conditions|of|gnu|either))*"
+# Runs are possessive: Java's regexes then repeat a group in a loop, else they call themselves once per round, and a long run would
+# end the stack. No name has to begin with a word that the run takes.
+GRANT = r"(?:licensed|licenced|released|distributed|redistributed|published|provided|available|covered|offered|shared|reuse) (?:under|by|according to|subject to|in accordance with)(?: (?:the|a|an|terms|and|conditions|of|gnu|either)(?= ))*+"
 
 
 #: Every text that a rule of a tag, a grant or an identifier matches contains one of these.
