@@ -15,7 +15,7 @@ from roadstrata.operators.flatten import flatten
 from roadstrata.operators.rules import FAILED, split, telemetry_rules, validation_summary
 from roadstrata.operators.survivors import dedupe, latest_per_key
 from roadstrata.plans import dims as D
-from roadstrata.plans.facts import fact_traffic, traffic_rollup
+from roadstrata.plans.facts import fact_traffic, hot_members, traffic_rollup
 from roadstrata.plans.jobs import Layers, run_bronze, run_gold, run_silver
 from roadstrata.schema import CORRUPT, SILVER_KEYS
 from roadstrata.sinks.bronze import land_bronze
@@ -442,6 +442,17 @@ def fact_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presented(fact_traffic(silver(spark, sf_dir), dims, null_safe=True))
 
 
+def fact_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys looked up, null parts too, where a third of all readings have one owner: hot keys are found and cut into pieces."""
+    pooled = {"owner_name": "Pool", "phone": "1", "email": "fleet"}
+    readings = silver(spark, sf_dir).withColumns(
+        {c: F.when(F.col("l_orderkey") % 3 == 0, v).otherwise(F.col(c)) for c, v in pooled.items()}
+    )
+    dims = {n: materialize(build(readings), n) for n, (build, _) in D.DIMENSIONS.items()}
+    hot = hot_members(readings, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return presented(fact_traffic(readings, dims, null_safe=True, hot=hot))
+
+
 def rollup(grain: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         groups = traffic_rollup(gold_fact(spark, sf_dir), grain)
@@ -624,6 +635,7 @@ QUERIES: dict[str, Query] = {
     "fact_traffic": fact_looked_up,
     "fact_traffic_derived": fact_derived,
     "fact_traffic_nullsafe": fact_null_safe,
+    "fact_traffic_skewed": fact_skewed,
     "traffic_rollup": rollup("second"),
     "traffic_rollup_minute": rollup("minute"),
     "table_row_counts": table_row_counts,

@@ -113,6 +113,10 @@ GOLD = (
     f"{C}, dim_owner as ({OWNER}), dim_location as ({LOCATION}), "
     f"dim_weather as ({WEATHER}), dim_vehicle as ({VEHICLE})"
 )
+POOLED = C.replace(", c as (", ", apart as (") + """, c as (
+    select * replace (case when l_orderkey % 3 = 0 then 'Pool' else owner_name end as owner_name,
+                      case when l_orderkey % 3 = 0 then '1' else phone end as phone,
+                      case when l_orderkey % 3 = 0 then 'fleet' else email end as email) from apart)"""
 FACT = f"{GOLD}, fact as ({fact_sql('=')})"
 JOB_FACT = FACT.replace(C, JOB_C)
 
@@ -253,6 +257,7 @@ ORACLES: dict[str, str] = {
     "fact_traffic": f"{FACT} select * from fact",
     "fact_traffic_derived": f"{FACT} select * from fact",
     "fact_traffic_nullsafe": f"{GOLD} {fact_sql('is not distinct from')}",
+    "fact_traffic_skewed": f"{GOLD.replace(C, POOLED)} {fact_sql('is not distinct from')}",
     "traffic_rollup": f"{FACT} {rollup_sql('time_sk')}",
     "traffic_rollup_minute": f"{FACT} {rollup_sql('cast(time_sk - time_sk % 60 as integer)')}",
     "table_row_counts": f"{FACT} {COUNTS}",

@@ -41,6 +41,7 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     gold.add_argument("--dates", nargs="*", type=dt.date.fromisoformat)
     gold.add_argument("--resolve", choices=("derive", "join"), default="derive")
     gold.add_argument("--dense", nargs="*", default=[])
+    gold.add_argument("--split-hot", action="store_true", help="find hot keys and cut them into pieces (join)")
     gold.add_argument("--null-safe", action="store_true")
     gold.add_argument("--grain", choices=("second", "minute", "hour"), default="second")
     gold.add_argument("--append", action="store_true", help="append the fact")
@@ -75,6 +76,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> RunMetrics:
             resolve=args.resolve,
             dense=args.dense,
             null_safe=args.null_safe,
+            split_hot=args.split_hot,
             grain=args.grain,
             fact_mode="append" if args.append else "overwrite",
             partition_fact=not args.flat_fact,

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from roadstrata.functions.keys import derived_key, same_zero
 from roadstrata.functions.measures import CONGESTION_SCORES, narrow, ordinal
 from roadstrata.functions.times import floor_time_key, time_key
-from roadstrata.operators.lookup import lookup_key
+from roadstrata.operators.lookup import hot_keys, lookup_key
 from roadstrata.schema import SILVER_KEYS
 
 
@@ -95,11 +95,17 @@ def measures() -> list[Column]:
     ]
 
 
+def hot_members(silver: DataFrame, tasks: int) -> dict[str, dict[int, int]]:
+    """The hot keys of all foreign keys of the fact, found in one pass over their columns."""
+    return hot_keys(silver, {r.alias: list(r.values().values()) for r in ROLES}, tasks)
+
+
 def fact_traffic(
     silver: DataFrame,
     dims: Mapping[str, DataFrame] | None = None,
     null_safe: bool = False,
     keep: tuple[str, ...] = (),
+    hot: Mapping[str, Mapping[int, int]] | None = None,
 ) -> DataFrame:
     """One fact per flat row, with the keys of its dimension members.
 
@@ -107,6 +113,7 @@ def fact_traffic(
     hold. Without, they are computed from the row itself, which gives the same
     fact for hash-keyed dimensions built from this flat table, as a map-only plan:
     at scale that saves five shuffles of the widest table.
+    `hot`, as `hot_members` gives it, has the lookups cut hot keys into pieces.
     """
     fact = silver
     if dims is None:
@@ -117,7 +124,7 @@ def fact_traffic(
         for role in ROLES:
             fact = lookup_key(
                 fact, dims[role.dim], role.values(), role.key, role.alias, null_safe,
-                spread_by=SILVER_KEYS,
+                spread_by=SILVER_KEYS, hot=(hot or {}).get(role.alias),
             )
     return fact.select(
         F.col("vehicle_id").alias("traffic_vehicle_id"),

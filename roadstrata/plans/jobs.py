@@ -15,7 +15,7 @@ from roadstrata.operators.flatten import flatten
 from roadstrata.operators.layout import by_partition
 from roadstrata.operators.rules import RuleSet, split, telemetry_rules
 from roadstrata.plans.dims import BUSINESS_KEYS, DIMENSIONS, MEMBERS_OF_DAY, dim_time
-from roadstrata.plans.facts import GOLD_INPUT, fact_traffic, traffic_rollup
+from roadstrata.plans.facts import GOLD_INPUT, fact_traffic, hot_members, traffic_rollup
 from roadstrata.sinks.bronze import land_bronze, manifest_rows, write_manifest
 from roadstrata.sinks.gold import JdbcTarget, publish
 from roadstrata.sinks.metrics import RunMetrics, counted
@@ -297,6 +297,7 @@ def run_gold(
     cache_silver: bool = False,
     parallel: int = 4,
     stable: Collection[str] = (),
+    split_hot: bool = False,
 ) -> RunMetrics:
     """Build the dimensions, then the fact and its rollup, each evaluated once.
 
@@ -304,7 +305,8 @@ def run_gold(
     rerun replaces its rows; `fact_mode="append"` adds them again instead. Beside it each day's members of every
     dimension are kept (`layers.state`), and the rollup is stored by day: with `dates`, only these days of the flat table and of the
     fact are read, and those not met before; dimensions are built from all days' members, and the rollup is rebuilt for the days' groups. Without `partition_fact` all is one flat table each, and a rerun rebuilds all of it.
-    `resolve` is how fact rows find their keys: "derive" or "join". Dimensions named in
+    `resolve` is how fact rows find their keys: "derive" or "join"; with "join", `split_hot` looks for hot keys first, in one
+    pass over the key columns, and cuts them into pieces. Dimensions named in
     `dense` are numbered 0..n-1; those numbers move as members arrive, so they need
     "join" and a fact rebuilt as a whole. Those named in `stable` have dense numbers too, but members keep them from run to run
     (`layers.state` holds the numbers), so single days can be rebuilt; they need "join" as well. `cache_silver` keeps the columns in use on
@@ -371,7 +373,10 @@ def run_gold(
             running = {n: pool.submit(inheritable_thread_target(spark)(t)) for n, t in tasks.items()}
             dims = {name: future.result() for name, future in running.items()}
 
-        fact = fact_traffic(rows, dims if resolve == "join" else None, null_safe, keep=by_day)
+        hot = None
+        if split_hot and resolve == "join":
+            hot = hot_members(rows, int(spark.conf.get(SHUFFLE_WIDTH)))
+        fact = fact_traffic(rows, dims if resolve == "join" else None, null_safe, keep=by_day, hot=hot)
         if by_day and resolve == "join":
             fact = by_partition(fact, "date")
         # Else: derived facts come straight from files of one day each and need no shuffle.

@@ -16,7 +16,7 @@ from roadstrata.functions.times import (
     time_key,
 )
 from roadstrata.operators.layout import by_partition
-from roadstrata.operators.lookup import lookup_key
+from roadstrata.operators.lookup import hot_keys, lookup_key
 from roadstrata.operators.survivors import dedupe, latest_per_key
 from roadstrata.sinks.silver import write_silver
 
@@ -184,6 +184,68 @@ def test_null_keys_are_spread_without_help_from_aqe(spark, settings):
     assert joined.filter("sk is not null").isEmpty() and joined.count() == 8000
 
 
+SKEW = """case when id % 3 = 0 then 'hot' when id % 5 = 0 then null when id % 7 = 0 then 'warm'
+          else concat('k', id % 2003) end as k"""
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_hot_keys_are_cut_without_help_from_aqe(spark, settings, null_safe):
+    """A third of the rows on one key, some on null and on another: no task has twice the median, and the result is whole."""
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__enabled="false",
+        spark__sql__shuffle__partitions="16",
+    )
+    fact = spark.range(120_000).selectExpr("id", SKEW).repartition(8)
+    dim = fact.select("k").distinct().withColumn("sk", hash_key(["k"]))
+    hot = hot_keys(fact, {"sk": ["k"]}, 16)["sk"]
+    assert 2 <= len(hot) <= 64
+    plain = lookup_key(fact, dim, {"k": "k"}, "sk", null_safe=null_safe, spread_by=["id"])
+    cut = lookup_key(fact, dim, {"k": "k"}, "sk", null_safe=null_safe, spread_by=["id"], hot=hot)
+    assert cut.columns == ["id", "k", "sk"]
+
+    def tasks(df):
+        # With its key, or the join would be left out.
+        found = df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("rows"), F.max("sk")).collect()
+        return sorted(r.rows for r in found)
+
+    even, uneven = tasks(cut), tasks(plain)
+    assert len(even) == len(uneven) == 16
+    assert even[-1] < 2 * even[8] and uneven[-1] > 2 * uneven[8]
+    assert cut.exceptAll(plain).isEmpty() and cut.count() == 120_000
+    missing = cut.filter("sk is null").select("k").distinct().collect()
+    assert missing == [] if null_safe else [r.k for r in missing] == [None]
+
+
+def test_hot_keys_of_nothing_and_of_even_keys(spark):
+    empty = spark.createDataFrame([], "k string, n int")
+    assert hot_keys(empty, {"a": ["k", "n"]}, 8) == {"a": {}}
+    even = spark.range(10_000).selectExpr("cast(id as string) as k", "cast(id % 100 as int) as n")
+    assert hot_keys(even, {"a": ["k"], "b": ["n"]}, 8) == {"a": {}, "b": {}}
+
+
+def test_hot_keys_with_many_roles_floats_and_clashing_names(spark):
+    rows = [(i, None if i % 4 == 0 else math.nan if i % 4 == 1 else -0.0, "x") for i in range(400)]
+    fact = spark.createDataFrame(rows, "id int, t double, sk_hot string")
+    dim = spark.createDataFrame([(math.nan, 1), (0.0, 2), (None, 3)], "t float, sk bigint")
+    on = {"t": "cast(t as float)"}
+    hot = hot_keys(fact, {"sk": list(on.values())}, 4)["sk"]
+    assert len(hot) == 3
+    for null_safe in (False, True):
+        got = lookup_key(fact, dim, on, "sk", null_safe=null_safe, spread_by=["id"], hot=hot)
+        assert sorted((r.id, r.sk) for r in got.collect()) == [
+            (i, (3 if null_safe else None) if i % 4 == 0 else 1 if i % 4 == 1 else 2) for i in range(400)
+        ]
+
+
+def test_hot_keys_of_other_types_are_refused(fact, dim):
+    wide = dim.withColumn("street", F.col("sk"))
+    with pytest.raises(ValueError, match="same types"):
+        lookup_key(fact, wide, {"street": "id % 2 = 0"}, "sk", spread_by=["id"], hot={1: 2})
+    with pytest.raises(ValueError, match="spread"):
+        lookup_key(fact, dim, ON, "sk", hot={1: 2})
+
+
 def test_derived_key_equals_lookup(spark, fact):
     members = fact.select("s", "d").distinct()
     dim = members.withColumn("sk", hash_key(["s", "d"]))
