@@ -22,6 +22,7 @@ from roadstrata.sinks.bronze import land_bronze
 from roadstrata.sinks.gold import publish
 from roadstrata.sinks.metrics import RunMetrics
 from roadstrata.sinks.silver import merge_partitions, write_quarantine, write_silver
+from roadstrata.sinks.versions import VersionedTable
 from roadstrata.sources.documents import read_documents
 from roadstrata.sources.files import (
     append_ledger,
@@ -393,6 +394,33 @@ def silver_merge_null_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presented(stored.withColumn("month", F.col("month").cast("string")))
 
 
+@stored_once("versions")
+def versioned(spark: SparkSession, sf_dir: str) -> VersionedTable:
+    """A table of months in versions: accepted and new readings first, late ones with some of the first again, and these once more."""
+    stored = VersionedTable(spark, scratch_path(spark, "versions"), "month")
+    good = valid(spark, sf_dir).withColumn("month", F.date_format("timestamp", "yyyyMM"))
+    for flags in (["A", "N"], ["N", "R"], ["N", "R"]):
+        stored.merge(materialize(good.filter(F.col("weather_condition").isin(flags)), "batch"), TIE_BREAK, cluster_by=["vehicle_id"])
+    return stored
+
+
+def silver_merge_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All batches, by the list of files of the last version."""
+    return presented(versioned(spark, sf_dir).read().select(*COLUMNS, "alerts"))
+
+
+def silver_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as it was before the late batches."""
+    return presented(versioned(spark, sf_dir).read(0).select(*COLUMNS, "alerts"))
+
+
+def silver_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each version by its list of files, by month."""
+    stored = versioned(spark, sf_dir)
+    lists = [stored.files(v).withColumn("version", F.lit(v).cast("bigint")) for v in stored.versions()]
+    return reduce(DataFrame.unionByName, lists).groupBy("version", F.col("part").alias("month")).agg(F.sum("rows").alias("rows"))
+
+
 # --- gold ---
 
 
@@ -623,6 +651,9 @@ QUERIES: dict[str, Query] = {
     "cluster_layout": cluster_layout,
     "silver_merge": silver_merge,
     "silver_merge_null_day": silver_merge_null_day,
+    "silver_merge_late": silver_merge_late,
+    "silver_as_of": silver_as_of,
+    "silver_versions": silver_versions,
     "dim_time": dim_time,
     "dim_time_hour": dim_time_hour,
     "dim_owner": dimension("dim_owner"),

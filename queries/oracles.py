@@ -43,6 +43,7 @@ C = f"""{V}, c as (
     select * from v
     qualify row_number() over (partition by vehicle_id, "timestamp" order by {', '.join(TIE_BREAK)}) = 1)"""
 
+EARLY = C.replace("select * from v\n", "select * from v where weather_condition in ('A', 'N')\n")
 OWNER = f"select distinct owner_name, phone, email, {key_sql('owner_name', 'phone', 'email')} as owner_sk from c"
 PLACES = """
     select road_street as street, road_district as district, road_city as city from c
@@ -237,6 +238,15 @@ ORACLES: dict[str, str] = {
     "silver_merge": f"{C} select {FLAT} from c",
     "silver_merge_null_day": f"""{C} select {FLAT}, case when day("timestamp") > 10
         then strftime("timestamp", '%Y%m') end as month from c""",
+    "silver_merge_late": f"{C} select {FLAT} from c",
+    "silver_as_of": f"{EARLY} select {FLAT} from c",
+    "silver_versions": f"""{C}, early as (
+        select * from v where weather_condition in ('A', 'N')
+        qualify row_number() over (partition by vehicle_id, "timestamp" order by {', '.join(TIE_BREAK)}) = 1)
+        select version, month, count(*) as rows from (
+            select cast(0 as bigint) as version, strftime("timestamp", '%Y%m') as month from early
+            union all select unnest([cast(1 as bigint), 2]), strftime("timestamp", '%Y%m') from c)
+        group by 1, 2""",
     "dim_time": CALENDAR,
     "dim_time_hour": f"{C} {HOURS}",
     "dim_owner": f"{GOLD} select * from dim_owner",
