@@ -6,9 +6,10 @@ task, up to BLOCK_CHARS of text (a longer document is a block of its own). Of a
 * one payload row: its documents and the number of the word at each position, and
 * one packet row per bucket: the block's distinct words of that hash bucket.
 
-Packets meet by bucket, where each distinct word is encoded once, and return to their block, where
+Packets meet by bucket, a task for each, where each distinct word is encoded once, and return to their block, where
 ids are put at the words' positions. Both kinds of rows go through the same two shuffles, so the text
-is split once and nothing needs to be kept. A word's rows are at most one per block, however often it occurs:
+is split once and nothing needs to be kept. There is a bucket for so much text as was counted in the input, which bounds a task and
+the words it remembers. A word's rows are at most one per block, however often it occurs:
 there are no hot words. Packets carry many words in one row, which keeps the shuffle small.
 """
 
@@ -26,18 +27,14 @@ import public_tokenizers
 import pyarrow as pa
 import regex
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from roadstrata.llm.common import shared_bytes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 BLOCK_CHARS = 12 << 20
-#: Input bytes that one bucket of the word shuffle stands for: some tenth of it are distinct words of their blocks.
-BYTES_PER_BUCKET = 1 << 30
-#: Spark's estimate for rows of unknown size is far above this.
-UNKNOWN_SIZE = 1 << 60
-#: Distinct words a task remembers; beyond it, it starts anew and may encode a word once more.
-REMEMBERED = 2_000_000
+#: Bytes of text that one bucket of the word shuffle stands for: some tenth of them are distinct words of their blocks, which its task remembers.
+BYTES_PER_BUCKET = 64 << 20
 #: Tokens gathered at a time.
 CHUNK = 1 << 20
 
@@ -149,12 +146,12 @@ def split_blocks(pattern: str, buckets: int, block_chars: int = BLOCK_CHARS):
             name = next(names)
             yield _rows([(name, PAYLOAD, squeeze(*_ids_plane(ids), sizes, at, bucket))])
             order = np.argsort(bucket, kind="stable")
-            ends = np.searchsorted(bucket[order], np.arange(1, buckets + 1)).tolist()
+            used, starts = np.unique(bucket[order], return_index=True)
+            ends = [*starts.tolist(), len(words)][1:]
             rows, held = [], 0
-            for b, (start, end) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
-                if start < end:
-                    rows.append((name, b, pack_words(words[i] for i in order[start:end])))
-                    held += len(rows[-1][2])
+            for b, start, end in zip(used.tolist(), starts.tolist(), ends, strict=True):
+                rows.append((name, b, pack_words(words[i] for i in order[start:end])))
+                held += len(rows[-1][2])
                 if held > 1 << 22 or len(rows) >= 1024:
                     yield _rows(rows)
                     rows, held = [], 0
@@ -178,7 +175,7 @@ def split_blocks(pattern: str, buckets: int, block_chars: int = BLOCK_CHARS):
 
 
 def encode_packets(ranks_file):
-    """mapInArrow function: packets of words to packets of their ids; payload rows pass."""
+    """mapInArrow function over the packets of one bucket: packets of words to packets of their ids, each word encoded once; payload rows pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, known = encoder(read_ranks(ranks_file.value)), {}
@@ -190,8 +187,6 @@ def encode_packets(ranks_file):
                     for word in unpack_words(data):
                         ids = known.get(word)
                         if ids is None:
-                            if len(known) >= REMEMBERED:
-                                known.clear()
                             ids = known[word] = encode(word.decode())
                         found.append(ids)
                     lengths = np.fromiter(map(len, found), np.uint32, len(found))
@@ -274,14 +269,23 @@ def assemble(ranks_file, with_ids: bool):
 
 
 def bucket_count(docs: DataFrame) -> int:
-    """One bucket per BYTES_PER_BUCKET of input, and at least as many as the session gives a shuffle.
-
-    Rows that do not come from files have no known size: then the session's number holds.
-    """
+    """One bucket per BYTES_PER_BUCKET of text, which is counted, and at least as many as the session gives a shuffle."""
     spark = docs.sparkSession
     least = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    expected = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(least, expected // BYTES_PER_BUCKET) if expected < UNKNOWN_SIZE else least
+    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(least, -(-total // BYTES_PER_BUCKET))
+
+
+def block_home(buckets: int) -> Column:
+    """The task of a block: blocks of one task go to one task after the other, from its own number on, so all get as many."""
+    nth = F.col("block").bitwiseAND(F.lit((1 << 32) - 1))
+    return F.pmod(F.shiftright("block", 32) + nth, F.lit(buckets)).cast("int")
+
+
+def dealt_words(docs: DataFrame, buckets: int) -> DataFrame:
+    """Payload and packet rows of (doc_id, text): all packets of a bucket, and no others, in the task of its number."""
+    rows = docs.mapInArrow(split_blocks(public_tokenizers.PATTERN, buckets), ROWS)
+    return rows.repartitionById(buckets, F.when(F.col("bucket") == PAYLOAD, block_home(buckets)).otherwise(F.col("bucket")))
 
 
 def bpe_report(docs: DataFrame, vocabulary: str | None = None, with_ids: bool = False) -> DataFrame:
@@ -289,17 +293,15 @@ def bpe_report(docs: DataFrame, vocabulary: str | None = None, with_ids: bool =
 
     Whole texts by the ranks in the file `vocabulary`, each match of public_tokenizers.PATTERN apart, without special tokens.
     A null text is empty: no ids. Equal rows each give their row; a null doc_id stays null. Extra columns are not
-    used; an empty table gives no rows. The digests are of the ids as little-endian 32-bit numbers and of
+    used; an empty table gives no rows. `docs` is read twice, once to count its text, and again by tasks that are lost: it should come from files,
+    whose splits hold the same rows each time, since a block is named by its task and its place in it. The digests are of the ids as little-endian 32-bit numbers and of
     the bytes that the ids decode to by the token-byte table.
     """
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     ranks = shared_bytes(docs.sparkSession, path)
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     buckets = bucket_count(docs)
-    rows = chosen.mapInArrow(split_blocks(public_tokenizers.PATTERN, buckets), ROWS)
-    # Payload rows are dealt by block in this shuffle, packets by bucket.
-    dealt = F.when(F.col("bucket") == PAYLOAD, F.xxhash64("block")).otherwise(F.col("bucket").cast("long"))
-    encoded = rows.repartition(buckets, dealt).mapInArrow(encode_packets(ranks), ROWS)
-    gathered = encoded.repartition("block").sortWithinPartitions("block", "bucket")
+    encoded = dealt_words(chosen, buckets).mapInArrow(encode_packets(ranks), ROWS)
+    gathered = encoded.repartitionById(buckets, block_home(buckets)).sortWithinPartitions("block", "bucket")
     out = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return gathered.mapInArrow(assemble(ranks, with_ids), out + ", ids array<int>" * with_ids)

@@ -470,6 +470,36 @@ def test_bpe_of_small_blocks(spark, library, monkeypatch):
     assert got == {d: library.encode_ordinary(t) for d, t in docs}
 
 
+def test_each_distinct_word_is_encoded_once(spark, monkeypatch):
+    """Over all blocks and all tasks: one call per word, and blocks dealt evenly."""
+    docs = [(i, f"the word {i % 50} and again w{i % 7} the word") for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(40)
+    buckets = 16
+    dealt = bpe.dealt_words(df, buckets).withColumn("task", F.spark_partition_id()).toPandas()
+    assert set(dealt.task) <= set(range(buckets)) and (dealt.bucket.isin([bpe.PAYLOAD]) | (dealt.bucket == dealt.task)).all()
+    blocks = dealt[dealt.bucket == bpe.PAYLOAD].groupby("task").size()
+    assert blocks.sum() == 40 and blocks.max() <= 3
+    calls = Counter()
+    monkeypatch.setattr(bpe, "encoder", lambda ranks: lambda word: calls.update([word]) or [1])
+    monkeypatch.setattr(bpe, "read_ranks", lambda raw: {})
+    ranks = type("Held", (), {"value": b""})
+    for _, rows_of_task in dealt.groupby("task"):
+        packed = bpe._rows([tuple(r) for r in rows_of_task[["block", "bucket", "data"]].itertuples(index=False)])
+        assert sum(batch.num_rows for batch in bpe.encode_packets(ranks)(iter([packed]))) == len(rows_of_task)
+    words = {w for _, t in docs for w in regex.findall(public_tokenizers.PATTERN, t)}
+    assert calls == Counter(words)
+
+
+def test_buckets_follow_the_text(spark, monkeypatch):
+    df = spark.range(64).selectExpr("id as doc_id", "repeat('word ', 1000) as text")
+    few = bpe.bucket_count(df)
+    monkeypatch.setattr(bpe, "BYTES_PER_BUCKET", 1000)
+    assert few == 16 and bpe.bucket_count(df) == 320 and bpe.bucket_count(df.filter("false")) == 16
+    # A width far above the number of words of a block.
+    got = bpe.bpe_report(df.unionByName(df.limit(1).withColumn("text", F.lit(None).cast("string")))).collect()
+    assert sorted(r.n_tokens for r in got)[0] == 0 and len({r.ids_sha256 for r in got}) == 2 and len(got) == 65
+
+
 def test_packing_round_trips():
     words = [b"", b"a", b"\xff\x00", "wörd".encode()] * 3
     assert bpe.unpack_words(bpe.pack_words(words)) == words
