@@ -233,6 +233,16 @@ def test_gold_refuses_colliding_keys(spark, inbox, layers, monkeypatch):
         run_gold(spark, layers, SHORT)
 
 
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_gold_with_hot_keys_cut_gives_the_derived_fact(spark, inbox, layers, null_safe):
+    run_bronze(spark, str(inbox), layers, "2024-03-05")
+    run_silver(spark, layers)
+    run_gold(spark, layers, SHORT, null_safe=null_safe)
+    derived = rows(spark.read.parquet(f"{layers.gold}/fact_traffic"))
+    run_gold(spark, layers, SHORT, resolve="join", split_hot=True, null_safe=null_safe)
+    assert rows(spark.read.parquet(f"{layers.gold}/fact_traffic")) == derived
+
+
 def test_gold_with_dense_keys_and_one_flat_fact(spark, inbox, layers):
     run_bronze(spark, str(inbox), layers, "2024-03-05")
     run_silver(spark, layers)
