@@ -11,8 +11,10 @@ from roadstrata.operators.survivors import dedupe
 from roadstrata.schema import SILVER_KEYS
 from roadstrata.sinks.metrics import counted
 from roadstrata.workspace import (
+    PACKED,
     SHUFFLE_WIDTH,
     discard,
+    few_partitions,
     materialize_at,
     partition_folders,
     scratch_path,
@@ -20,6 +22,8 @@ from roadstrata.workspace import (
     shuffle_width,
 )
 
+#: A compressed file is read by one task, so each holds at most so many rejected rows.
+ROWS_PER_FILE = 200_000
 SMALLEST_TASK = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 
 
@@ -106,7 +110,7 @@ def write_quarantine(
     batch_columns: Sequence[str] = (),
     skip_empty: bool = False,
 ) -> bool:
-    """Write rejected rows as JSON with the rules they broke; True if a write took place.
+    """Write rejected rows as compressed JSON with the rules they broke; True if a write took place.
 
     Without `batch_columns` rows are appended. With them each landed batch has a folder of its own,
     which a rerun replaces, whatever other batches run with it. `skip_empty` first looks for
@@ -114,9 +118,11 @@ def write_quarantine(
     """
     if skip_empty and invalid.isEmpty():
         return False
+    how = {**PACKED, "maxRecordsPerFile": ROWS_PER_FILE}
     if not batch_columns:
-        invalid.write.mode("append").json(path)
+        invalid.write.mode("append").options(**how).json(path)
     else:
-        writer = invalid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*batch_columns).json(path)
+        writer = invalid.write.mode("overwrite").options(partitionOverwriteMode="dynamic", **how)
+        with few_partitions(invalid.sparkSession):
+            writer.partitionBy(*batch_columns).json(path)
     return True

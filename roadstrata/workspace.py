@@ -9,6 +9,9 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: How rows are written as text: the fastest level takes a third of the default's time for half as much again.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
 SHUFFLE_WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -42,8 +45,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return materialize_at(df, scratch_path(df.sparkSession, label))
 
 
-def materialize_at(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+def materialize_at(df: DataFrame, path: str, **options: str) -> DataFrame:
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -109,6 +112,16 @@ def partition_folders(spark: SparkSession, path: str, column: str) -> dict[str |
     return found
 
 
+@contextmanager
+def few_partitions(spark: SparkSession, most: int = 16):
+    """Write to partitions of which a task has only a few, without sorting its rows by them first: wide rows would spill.
+
+    A task that meets more than `most` sorts the rest.
+    """
+    with session_setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(most)):
+        yield
+
+
 @contextmanager
 def session_setting(spark: SparkSession, name: str, value: str):
     """Run the actions in the block under one changed session setting."""
