@@ -8,6 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from roadstrata.workspace import SHUFFLE_WIDTH, shuffle_width
+
+#: Bytes of the two big tables to a shuffle partition: its rows take some thirty times that where they are sorted.
+BYTES_PER_TASK = 4 << 20
 
 TABLES = ("lineitem", "orders", "customer", "supplier", "part", "nation", "region")
 
@@ -76,9 +80,12 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat readings plus the tie-break columns.
 
     Stored tables are joined as they are, so that the size of each is known and not
-    guessed when it comes to broadcasting; only the two big sides must be shuffled.
+    guessed when it comes to broadcasting; only the two big sides must be shuffled. The width of their
+    shuffles follows their files, as that of the jobs does: with a fixed one tasks grow with the tables, and sorts spill.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    big = [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders")]
+    spark.conf.set(SHUFFLE_WIDTH, str(shuffle_width(spark, *big, bytes_per_task=BYTES_PER_TASK)))
     read = {name: table(spark, sf_dir, name) for name in TABLES}
     places = read["nation"].join(read["region"], F.col("n_regionkey") == F.col("r_regionkey"))
 
