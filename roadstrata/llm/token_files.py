@@ -18,7 +18,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -32,8 +32,8 @@ from roadstrata.workspace import discard, materialize_at, scratch_path, session_
 
 VOCABULARY = "word_bpe_49k.json"
 END = 2
-#: Bytes of text encoded at a time, and pieces of text a task remembers before it starts anew.
-TEXTS, REMEMBERED = 4 << 20, 800_000
+#: Bytes of text encoded at a time, and pieces of text and words that a task remembers before it starts anew with either.
+TEXTS, REMEMBERED, WORDS = 6 << 20, 600_000, 800_000
 #: Blocks that are coded together.
 TOGETHER = 32
 
@@ -69,10 +69,11 @@ class Encoder:
         if suffix:
             self.ends_word = np.zeros(self.library.get_vocab_size(), bool)
             self.ends_word[[i for token, i in model["vocab"].items() if token.endswith(suffix)]] = True
-        self._forget()
+        self.words = _Memory()
+        self._forget_pieces()
 
-    def _forget(self) -> None:
-        self.pieces, self.words = _Memory(), _Memory()
+    def _forget_pieces(self) -> None:
+        self.pieces = _Memory()
         # No piece of a text is a line break, so that can stand for the end id.
         self.pieces.add(["", "\n"], np.array([self.end], np.uint32), np.array([0, 1]))
 
@@ -115,7 +116,10 @@ class Encoder:
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, each with the end id; the number of each text's ids)"""
         if len(self.pieces.number) > REMEMBERED:
-            self._forget()
+            self._forget_pieces()
+        # Words come back in new pieces, and cost far more to learn.
+        if len(self.words.number) > WORDS:
+            self.words = _Memory()
         texts = pc.fill_null(texts, "")
         pieces = pc.utf8_split_whitespace(texts)
         if pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():
@@ -160,8 +164,8 @@ class _Memory:
 
     def look_up(self, distinct: pa.Array, at: np.ndarray, learn) -> tuple[np.ndarray, np.ndarray]:
         """(ids one after the other, how many of each) of distinct[at]; `learn` gives those of strings not met before."""
-        strings, get = _strings(distinct), self.number.get
-        place = np.array([get(s, -1) for s in strings], np.int64)
+        strings = _strings(distinct)
+        place = np.fromiter(map(self.number.get, strings, repeat(-1)), np.int64, len(strings))
         fresh = np.flatnonzero(place < 0)
         if len(fresh):
             some = distinct.take(pa.array(fresh))
@@ -219,11 +223,11 @@ def id_counts(ids: DataFrame, wide: int) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
-            for one in batch.column(0):
-                found = np.bincount(np.frombuffer(one.as_buffer(), f"<u{wide}"))
-                if len(found) > len(total):
-                    total = np.append(total, np.zeros(len(found) - len(total), np.int64))
-                total[: len(found)] += found
+            # All rows of a batch at once: counting each by itself would go over the whole vocabulary for every document.
+            found = np.bincount(np.frombuffer(_joined(batch.column(0)), f"<u{wide}"))
+            if len(found) > len(total):
+                total = np.append(total, np.zeros(len(found) - len(total), np.int64))
+            total[: len(found)] += found
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], names=["id", "n"])
 
@@ -231,6 +235,16 @@ def id_counts(ids: DataFrame, wide: int) -> dict[int, int]:
     return {r.id: r.n for r in counted.collect()}
 
 
+def _joined(rows: pa.BinaryArray) -> memoryview:
+    """The bytes of all rows one after the other, null as none, without a copy."""
+    if rows.null_count:
+        rows = rows.drop_null()
+    if not len(rows):
+        return memoryview(b"")
+    offsets = np.frombuffer(rows.buffers()[1], np.int32)[rows.offset : rows.offset + len(rows) + 1]
+    return memoryview(rows.buffers()[2] or b"")[offsets[0] : offsets[-1]]
+
+
 class _Writer:
     """Cuts one part's ids into blocks and codes some at a time."""
 
