@@ -20,6 +20,8 @@ from roadstrata.llm.common import stored
 DOCUMENTS, TERMS, SCALE, MORE = 30, 50, 1_000_000_000, 5
 #: Rows of a bucket on average; cells of a dense array at a time; buckets merged at a time.
 ROWS, CELLS, MERGED = 32_768, 1 << 21, 64
+#: Items of a skyband that are compared with each other.
+BLOCK = 256
 #: Bytes of text split at a time, and counts a task holds before it hands them on.
 PIECE, HELD = 1 << 20, 300_000
 
@@ -90,25 +92,34 @@ def skyband(more: np.ndarray, less: np.ndarray, name: np.ndarray, k: int) -> np.
     are themselves kept, so it is enough to count among the kept.
     """
     order = np.lexsort((name, less, -more))
-    less, name = less[order], name[order]
+    less, name = _ranks(less)[order], _ranks(name)[order]
     kept = np.zeros(len(order), bool)
-    for at in range(0, len(order), 1024):
-        here = slice(at, min(at + 1024, len(order)))
+    for at in range(0, len(order), BLOCK):
+        here = slice(at, min(at + BLOCK, len(order)))
         before = np.flatnonzero(kept[:at])
         count = np.zeros(here.stop - at, np.int64)
         for some in range(0, len(before), 4096):
             b = before[some : some + 4096, None]
-            count += ((less[b] <= less[here]) & (name[b] < name[here])).sum(axis=0)
-        inside = (less[here, None] <= less[here]) & (name[here, None] < name[here])
-        inside &= np.tri(len(inside), k=-1, dtype=bool).T  # only those that come before
-        for i in np.flatnonzero(count < k):
-            # Those inside the block count if they are kept, which is known when their turn has come.
-            kept[at + i] = count[i] + (inside[: i, i] & kept[at : at + i]).sum() < k
+            count += np.count_nonzero((less[b] <= less[here]) & (name[b] < name[here]), axis=0)
+        # By rows: those inside the block that come before an item and dominate it if they are kept.
+        inside = (less[here] <= less[here, None]) & (name[here] < name[here, None])
+        inside &= np.tri(len(inside), k=-1, dtype=bool)
+        sure = count + np.count_nonzero(inside, axis=1) < k
+        kept[here] = sure
+        for i in np.flatnonzero((count < k) & ~sure):
+            # Whether those are kept is known when their turn has come.
+            kept[at + i] = count[i] + np.count_nonzero(inside[i, :i] & kept[at : at + i]) < k
     found = np.zeros(len(order), bool)
     found[order] = kept
     return found
 
 
+def _ranks(values: np.ndarray) -> np.ndarray:
+    """Numbers in the same order, in the smallest type that holds them: comparing them is most of the work."""
+    distinct, at = np.unique(values, return_inverse=True)
+    return at.astype(np.min_scalar_type(max(1, len(distinct) - 1)))
+
+
 def shares(counts: np.ndarray, total: int, terms: int) -> np.ndarray:
     """1 + floor(SCALE * (count + 5) / (total + 5 * terms)) of each count, in whole numbers of any size."""
     below = total + MORE * terms
