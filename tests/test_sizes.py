@@ -88,3 +88,24 @@ def test_merges_join_the_tables_once(spark, sf_dir, fresh, monkeypatch):
     kept = catalog.silver_merge_late(spark, sf_dir).count()
     assert kept == catalog.silver_merge(spark, sf_dir).count() == catalog.silver_merge_null_day(spark, sf_dir).count() > 0
     assert len(calls) == 1
+
+
+def test_records_are_packed_closer_than_at_the_fastest_level(spark, sf_dir, tmp_path):
+    records = catalog.nested(catalog.telemetry(spark, sf_dir)).coalesce(1)
+    fastest = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+    catalog.write_records(records, str(tmp_path / "own"))
+    records.write.options(**fastest).json(str(tmp_path / "fastest"))
+    assert bytes_under(spark, str(tmp_path / "own")) < 0.8 * bytes_under(spark, str(tmp_path / "fastest"))
+    own, other = (spark.read.text(str(tmp_path / name)) for name in ("own", "fastest"))
+    assert own.exceptAll(other).isEmpty() and other.exceptAll(own).isEmpty()
+
+
+def test_landed_texts_are_packed_closer_than_at_the_codecs_own_level(spark, sf_dir, tmp_path):
+    catalog.write_records(catalog.nested(catalog.telemetry(spark, sf_dir)).coalesce(1), str(tmp_path / "in"))
+    raw = read_records(spark, str(tmp_path / "in"))
+    land_bronze(raw, str(tmp_path / "own"), "2024-01-01", "b", rebalance=False)
+    raw.write.options(compression="zstd").parquet(str(tmp_path / "plain"))
+    weight = {n: sum(pq.ParquetFile(f).metadata.row_group(0).column(i).total_compressed_size
+                     for f in (tmp_path / n).rglob("*.parquet") for i in range(pq.ParquetFile(f).metadata.num_columns)
+                     if pq.ParquetFile(f).schema.column(i).name == "payload") for n in ("own", "plain")}
+    assert 0 < weight["own"] < 0.95 * weight["plain"]
