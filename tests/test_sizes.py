@@ -82,6 +82,21 @@ def test_shuffles_of_the_joined_tables_are_as_wide_as_their_files_ask(spark, sf_
         assert int(spark.conf.get(SHUFFLE_WIDTH)) == -(-big // 1000)
 
 
+def test_only_the_big_tables_are_shuffled_and_before_anything_is_looked_up(spark, sf_dir, settings, monkeypatch):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    few = telemetry_view.telemetry(spark, sf_dir)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange hashpartitioning") == 2
+    assert plan.rindex("BroadcastHashJoin [l_partkey") < plan.index("SortMergeJoin [l_orderkey")
+    # Tables that are too big are joined while the rows are narrow; the places are still sent.
+    monkeypatch.setattr(telemetry_view, "LOOKUP_BYTES", 0)
+    wide = telemetry_view.telemetry(spark, sf_dir)
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 4 and plan.index("SortMergeJoin [l_orderkey") < plan.index("SortMergeJoin [l_partkey")
+    assert "BroadcastHashJoin [c_nationkey" in plan and "BroadcastHashJoin [s_nationkey" in plan
+    assert few.exceptAll(wide).isEmpty() and wide.exceptAll(few).isEmpty() and few.count() > 0
+
+
 def test_merges_join_the_tables_once(spark, sf_dir, fresh, monkeypatch):
     calls = []
     monkeypatch.setattr(catalog, "telemetry", lambda *a: calls.append(a) or telemetry_view.telemetry(*a))
