@@ -14,7 +14,7 @@ from roadstrata.sinks.silver import write_quarantine
 from roadstrata.sources.documents import read_documents
 from roadstrata.sources.files import list_inputs
 from roadstrata.sources.telemetry import read_records
-from roadstrata.workspace import SHUFFLE_WIDTH, bytes_under, few_partitions, session_setting
+from roadstrata.workspace import SHUFFLE_WIDTH, bytes_under, few_partitions, materialize_at, path_exists, session_setting
 from tests.records import record
 
 
@@ -97,6 +97,24 @@ def test_only_the_big_tables_are_shuffled_and_before_anything_is_looked_up(spark
     assert few.exceptAll(wide).isEmpty() and wide.exceptAll(few).isEmpty() and few.count() > 0
 
 
+def test_plain_documents_weigh_little_beside_the_packed_ones(spark, sf_dir, fresh):
+    path = catalog.pretty_documents(spark, sf_dir)
+    held = {n: read_documents(spark, f"{path}/{n}").count() for n in ("plain", "packed")}
+    assert held["plain"] > 0 and sum(held.values()) == catalog.telemetry(spark, sf_dir).count()
+    assert bytes_under(spark, f"{path}/plain") < 0.25 * bytes_under(spark, f"{path}/packed")
+
+
+def test_stored_readings_are_deleted_once_their_files_are_written(spark, sf_dir, fresh, monkeypatch):
+    rows, there = [], []
+    monkeypatch.setattr(catalog, "materialize_at", lambda df, path, **how: there.append(path) or materialize_at(df, path, **how))
+    monkeypatch.setattr(catalog, "run_bronze", lambda spark, source, *a, **k: rows.append(spark.read.option("recursiveFileLookup", "true").text(source).count()))
+    for job in ("run_silver", "run_gold"):
+        monkeypatch.setattr(catalog, job, lambda *a, **k: None)
+    catalog.lake_by_day(spark, sf_dir)
+    assert 0 < rows[0] < rows[1] == catalog.telemetry(spark, sf_dir).count()
+    assert len(there) == 1 and not path_exists(spark, there[0])
+
+
 def test_merges_join_the_tables_once(spark, sf_dir, fresh, monkeypatch):
     calls = []
     monkeypatch.setattr(catalog, "telemetry", lambda *a: calls.append(a) or telemetry_view.telemetry(*a))
