@@ -1,6 +1,7 @@
 """What files weigh, how many records share one, and how wide shuffles start."""
 
 import json
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -115,6 +116,31 @@ def test_stored_readings_are_deleted_once_their_files_are_written(spark, sf_dir,
     assert len(there) == 1 and not path_exists(spark, there[0])
 
 
+def test_shuffle_files_are_deleted_once_their_rows_are_written(spark, tmp_path):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {n for n in blocks.getAllFiles().mkString(" ").split() if "/shuffle_" in n}
+    rows = spark.range(0, 2000, 1, 4).repartition(4, "id").select("id", F.array(F.lit("eta")).alias("failed_rules"))
+    text = rows.select(F.col("id").cast("string").alias("record"))
+    days = rows.withColumn("date", F.lit("2024-01-01"))
+    writes = {
+        "records": lambda p: catalog.write_records(rows, p),
+        "documents": lambda p: catalog.write_documents(text, p, 50, ("[", ",", "]"), catalog.PACKED),
+        "table": lambda p: materialize_at(rows, p),
+        "quarantine": lambda p: write_quarantine(rows, p),
+        "silver": lambda p: silver_sink.write_silver(days, p),
+        "bronze": lambda p: land_bronze(rows, p, "2024-01-01", "b"),
+    }
+    for name, write in writes.items():
+        before = shuffled()
+        write(str(tmp_path / name))
+        # They are deleted in the background.
+        until = time.time() + 20
+        while shuffled() - before and time.time() < until:
+            time.sleep(0.2)
+        assert not shuffled() - before, name
+    assert rows.count() == 2000 and spark.read.parquet(str(tmp_path / "bronze")).count() == 2000
+
+
 def test_merges_join_the_tables_once(spark, sf_dir, fresh, monkeypatch):
     calls = []
     monkeypatch.setattr(catalog, "telemetry", lambda *a: calls.append(a) or telemetry_view.telemetry(*a))
