@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from queries import catalog, telemetry_view
+from roadstrata.plans import jobs
 from roadstrata.schema import CORRUPT
 from roadstrata.sinks import silver as silver_sink
 from roadstrata.sinks.bronze import land_bronze
@@ -168,3 +169,48 @@ def test_landed_texts_are_packed_closer_than_at_the_codecs_own_level(spark, sf_d
                      for f in (tmp_path / n).rglob("*.parquet") for i in range(pq.ParquetFile(f).metadata.num_columns)
                      if pq.ParquetFile(f).schema.column(i).name == "payload") for n in ("own", "plain")}
     assert 0 < weight["own"] < 0.95 * weight["plain"]
+
+
+def test_raw_files_are_written_from_slices_that_hold_each_reading_once(spark, sf_dir, fresh, settings, monkeypatch):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    whole = telemetry_view.telemetry(spark, sf_dir)
+    assert len(telemetry_view.telemetry_in_slices(spark, sf_dir)) == 1
+    monkeypatch.setattr(telemetry_view, "SLICE_BYTES", 60_000)
+    slices = telemetry_view.telemetry_in_slices(spark, sf_dir)
+    assert 1 < len(slices) < telemetry_view.SLICES
+    held = [s.count() for s in slices]
+    assert min(held) > 0 and max(held) < 0.6 * sum(held)
+    joined = slices[0]
+    for other in slices[1:]:
+        joined = joined.unionAll(other)
+    assert whole.exceptAll(joined).isEmpty() and joined.exceptAll(whole).isEmpty()
+    # Neither big table is shuffled beyond the slice.
+    plan = slices[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("pmod(xxhash64(l_orderkey") >= 1 and plan.count("pmod(xxhash64(o_orderkey") >= 1
+    written = []
+    monkeypatch.setattr(catalog, "write_records", lambda records, path, write=catalog.write_records: written.append(path) or write(records, path))
+    raw = spark.read.text(catalog.raw_files(spark, sf_dir))
+    assert len(written) == len(slices) and raw.count() == whole.count()
+    monkeypatch.setattr(telemetry_view, "SLICE_BYTES", 1)
+    assert len(telemetry_view.telemetry_in_slices(spark, sf_dir)) == telemetry_view.SLICES
+
+
+def test_landed_files_of_the_jobs_are_deleted_and_rejected_rows_come_last(spark, sf_dir, fresh, monkeypatch):
+    calls = []
+    monkeypatch.setattr(catalog, "write_records", lambda records, path, write=catalog.write_records: calls.append(path) or write(records, path))
+    monkeypatch.setattr(catalog, "run_gold", lambda *a, **k: None)
+    for name in ("merge_partitions", "write_quarantine"):
+        own = getattr(jobs, name)
+        monkeypatch.setattr(jobs, name, lambda *a, name=name, own=own, **k: calls.append(name) or own(*a, **k))
+    layers, silver_run, _ = catalog.lake(spark, sf_dir)
+    assert calls[1:] == ["merge_partitions", "write_quarantine"] and not path_exists(spark, calls[0])
+    assert spark.read.parquet(layers.bronze).count() == silver_run.rows()["rows_total"] == catalog.telemetry(spark, sf_dir).count()
+
+
+def test_only_late_readings_wait_as_a_table(spark, sf_dir, fresh, monkeypatch):
+    stored = []
+    monkeypatch.setattr(catalog, "materialize_at", lambda df, path, **how: stored.append(df.count()) or materialize_at(df, path, **how))
+    for job in ("run_bronze", "run_silver", "run_gold"):
+        monkeypatch.setattr(catalog, job, lambda *a, **k: None)
+    catalog.lake_by_day(spark, sf_dir)
+    assert 0 < stored[0] < 0.1 * catalog.telemetry(spark, sf_dir).count()
