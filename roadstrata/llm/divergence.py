@@ -7,11 +7,12 @@ dominate. Skybands of buckets are merged, and what is left is ranked exactly.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from roadstrata.llm.common import stored
@@ -22,8 +23,8 @@ DOCUMENTS, TERMS, SCALE, MORE = 30, 50, 1_000_000_000, 5
 ROWS, CELLS, MERGED = 32_768, 1 << 21, 64
 #: Items of a skyband that are compared with each other.
 BLOCK = 256
-#: Bytes of text split at a time, and counts a task holds before it hands them on.
-PIECE, HELD = 1 << 20, 300_000
+#: Bytes of a long text split at a time, bytes of texts counted together, and counts a task holds before it hands them on.
+PIECE, TEXTS, HELD = 1 << 20, 4 << 20, 500_000
 
 _KEEP = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -39,50 +40,82 @@ def terms_of(text: bytes) -> Counter:
     return found
 
 
+def _count_block(texts: pa.BinaryArray, group: np.ndarray) -> pa.Table:
+    """group, term, n, docs of some whole texts; `group` has the number of each text's group."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = memoryview(texts.buffers()[2] or b"")[offsets[0] : offsets[-1]]
+    # Letter for letter, so that every text stays where it is.
+    spaced = pa.py_buffer(bytes(data).translate(_KEEP))
+    spaced = pa.StringArray.from_buffers(len(texts), pa.py_buffer(offsets - offsets[0]), spaced)
+    words = pc.ascii_split_whitespace(spaced)
+    found = words.flatten().dictionary_encode()
+    term, terms = found.indices.to_numpy().astype(np.int64), max(1, len(found.dictionary))
+    text = np.repeat(np.arange(len(texts)), np.diff(words.offsets.to_numpy()))
+    # Once by text, so that each counts once for its group.
+    once, n = np.unique(text * terms + term, return_counts=True)
+    key = group[once // terms] * terms + once % terms
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+    columns = [
+        pa.array(key[first] // terms, pa.int32()), found.dictionary.take(pa.array(key[first] % terms)),
+        pa.array(np.add.reduceat(n, first) if len(first) else n, pa.int64()), pa.array(np.diff(np.append(first, len(key))), pa.int64()),
+    ]
+    # Spaces at the ends of a text leave an empty word.
+    table = pa.table(columns, names=["group", "term", "n", "docs"])
+    return table.filter(pc.not_equal(table.column("term"), ""))
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict = defaultdict(dict)
+    number: dict[tuple[str, str], int] = {}
+    held: list[pa.Table] = []
     size = 0
 
-    def rows() -> pa.RecordBatch:
-        columns = [[], [], [], [], []]
-        for (lang, source), terms in held.items():
-            columns[0] += [lang] * len(terms)
-            columns[1] += [source] * len(terms)
-            columns[2] += terms.keys()
-            columns[3] += (c[0] for c in terms.values())
-            columns[4] += (c[1] for c in terms.values())
-        kinds = [pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
-        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-        arrays[2] = arrays[2].cast(pa.string())
-        return pa.RecordBatch.from_arrays(arrays, names=["lang", "source", "term", "n", "docs"])
+    def merged() -> pa.Table:
+        added = pa.concat_tables(held).group_by(["group", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
+        return added.select(["group", "term", "n_sum", "docs_sum"]).rename_columns(["group", "term", "n", "docs"])
+
+    def rows(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        for batch in table.combine_chunks().to_batches(max_chunksize=ROWS):
+            names = [pa.array([g[i] for g in number], pa.string()).take(batch.column("group")) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*names, *batch.columns[1:]], names=["lang", "source", "term", "n", "docs"])
 
     for batch in batches:
-        lang, source = (batch.column(c).to_pylist() for c in ("lang", "source"))
-        for at, group in enumerate(zip(lang, source, strict=True)):
-            own = held[group]
-            size -= len(own)
-            for term, n in terms_of(batch.column("text")[at].as_buffer().to_pybytes()).items():
-                had = own.get(term)
-                if had is None:
-                    own[term] = [n, 1]
-                else:
-                    had[0] += n
-                    had[1] += 1
-            size += len(own)
-            if size > HELD:
-                yield rows()
-                held.clear()
-                size = 0
+        groups = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True)
+        group = np.fromiter((number.setdefault(g, len(number)) for g in groups), np.int64, batch.num_rows)
+        lengths = pc.binary_length(batch.column("text")).to_numpy()
+        block = np.cumsum(lengths, dtype=np.int64) // TEXTS
+        cuts = [*(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
+        for at, end in zip([0, *cuts], cuts, strict=False):
+            some, own = batch.column("text").slice(at, end - at), group[at:end]
+            long = lengths[at:end] > TEXTS
+            for i in np.flatnonzero(long).tolist():
+                terms = terms_of(some[i].as_buffer().to_pybytes())
+                columns = [pa.array([own[i]] * len(terms), pa.int32()), pa.array(list(terms), pa.binary()).cast(pa.string()),
+                           pa.array(terms.values(), pa.int64()), pa.array([1] * len(terms), pa.int64())]
+                held.append(pa.table(columns, names=["group", "term", "n", "docs"]))
+            if long.any():
+                some, own = some.filter(pa.array(~long)), own[~long]
+            if len(some):
+                held.append(_count_block(some, own))
+            size = sum(t.num_rows for t in held)
+            if size > 2 * HELD:
+                held = [merged()]
+                if held[0].num_rows > HELD:
+                    yield from rows(held.pop())
     if held:
-        yield rows()
+        yield from rows(merged())
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """lang, source, term, n (occurrences), docs (documents that hold it), over whole texts. Null fields are ''."""
+    """lang, source, term, n (occurrences), docs (documents that hold it), over whole texts. Null fields are ''.
+
+    A task's rows are summed before they leave it, so they are dealt as they are; dealt by language and term, all sources of a term are together.
+    """
     blank = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")
     counted = docs.select(*blank, text).mapInArrow(_count, "lang string, source string, term string, n long, docs long")
-    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return counted.repartition("term", "lang").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def skyband(more: np.ndarray, less: np.ndarray, name: np.ndarray, k: int) -> np.ndarray:
@@ -207,12 +240,13 @@ def divergence(docs: DataFrame, documents: int = DOCUMENTS) -> DataFrame:
 
     Null text, lang and source are ''. Equal rows and doc_ids each count. Extra columns are not used; an empty table gives no rows.
 
-    A term of a group with a third of all occurrences is one row per task before the shuffle. Buckets are hash classes of a
+    A term of a group with a third of all occurrences is a row per task, or per HELD rows of one, before the shuffle. Buckets are hash classes of a
     language's terms and hold about ROWS rows each; a row per source of a language joins each.
     """
-    counts = stored(term_counts(docs), "term-counts")
-    common = counts.groupBy("lang", "term").agg(F.sum("docs").alias("in_docs")).filter(F.col("in_docs") >= documents)
-    kept = stored(counts.drop("docs").join(common, ["lang", "term"], "left_semi"), "kept-terms")
+    # Rows are dealt by term already, and there are as many of a term as its language has sources.
+    in_docs = F.sum("docs").over(Window.partitionBy("term", "lang"))
+    counts = term_counts(docs).withColumn("in_docs", in_docs).filter(F.col("in_docs") >= documents)
+    kept = stored(counts.drop("docs", "in_docs"), "kept-terms")
     # Sizes of languages and groups: rows as many as there are languages and groups.
     sizes = kept.groupBy("lang").agg(
         F.count("*").alias("rows"), F.count_distinct("term").alias("terms"), F.sum("n").alias("lang_total")
