@@ -39,7 +39,9 @@ TOGETHER = 32
 
 #: Pieces of characters whose words can be told apart here, Latin letters, digits and signs that start no special form, and such words.
 SIMPLE = r"""^[A-Za-z0-9À-ÖØ-öø-ÿ!"#$%&()*+,\-./:;=>?@\[\]\\^_`{}~]+$"""
-WORD = r"([a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+)"
+#: By byte: letters, which all bytes of other than ASCII characters are here, digits, each a word of its own, and signs.
+LETTER, DIGIT = 1, 2
+KIND = np.array([DIGIT if 48 <= b <= 57 else LETTER if 97 <= b <= 122 or b >= 128 else 0 for b in range(256)], np.uint8)
 #: Separators for Arrow and Python that are not white space for the library, and the library's white space.
 NOT_SPACE, SPACE = re.compile("[\x1c-\x1f]").search, re.compile(r"[^\S\x1c-\x1f]+")
 
@@ -99,12 +101,10 @@ class Encoder:
 
     def _by_words(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         simple = pc.match_substring_regex(pieces, SIMPLE)
-        cut = pc.replace_substring_regex(pc.utf8_lower(pieces.filter(simple)), WORD, "\\1\x1f")
-        words = pc.split_pattern(pc.utf8_rtrim(cut, "\x1f"), "\x1f")
-        ids, sizes = self._words(words.flatten())
-        per_piece = np.diff(words.offsets.to_numpy())
-        owner = np.repeat(np.arange(len(words)), per_piece)
-        easy = np.bincount(owner, weights=sizes, minlength=len(words)).astype(np.int64)
+        words, per_piece = _cut(pc.utf8_lower(pieces.filter(simple)))
+        ids, sizes = self._words(words)
+        owner = np.repeat(np.arange(len(per_piece)), per_piece)
+        easy = np.bincount(owner, weights=sizes, minlength=len(per_piece)).astype(np.int64)
         other_ids, other_sizes = self._by_library(pieces.filter(pc.invert(simple)))
         is_simple = simple.to_numpy(zero_copy_only=False)
         total = np.empty(len(pieces), np.int64)
@@ -132,6 +132,23 @@ class Encoder:
         return ids, np.diff(places)
 
 
+def _cut(pieces: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """(words of lower-cased simple pieces one after the other, how many of each): where the kind of character changes, and at each digit."""
+    if not len(pieces):
+        return pa.array([], pa.string()), np.zeros(0, np.int64)
+    bounds = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset : pieces.offset + len(pieces) + 1]
+    text = np.frombuffer(pieces.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    bounds = bounds - bounds[0]
+    kind = KIND[text]
+    begins = kind == DIGIT
+    begins[1:] |= kind[1:] != kind[:-1]
+    begins[bounds[:-1]] = True
+    starts = np.flatnonzero(begins)
+    places = np.append(starts, len(text)).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(text))
+    return words, np.diff(np.searchsorted(starts, bounds))
+
+
 def _strings(array: pa.Array) -> list[str]:
     """As to_pylist(), several times as fast."""
     return array.to_numpy(zero_copy_only=False).tolist()
