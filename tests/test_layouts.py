@@ -120,6 +120,24 @@ def test_documents_over_many_splits(spark, tmp_path, settings, monkeypatch):
     assert flat.filter(F.col(CORRUPT).isNull()).select("owner.name").distinct().collect() == [('br}ace "{"',)]
 
 
+def test_files_of_one_split_are_read_once(spark, tmp_path, settings, monkeypatch):
+    many = [record(vehicle_id=f"V{i}") for i in range(300)]
+    with gzip.open(tmp_path / "a.json.gz", "wt", compresslevel=0) as f:
+        f.write(json.dumps(many, indent=1))
+    write_document(tmp_path / "b.json", many[:5])
+    settings(spark__sql__files__maxPartitionBytes="50000")
+    monkeypatch.setattr(documents, "LEAST_SPLIT", 50_000)
+    assert (tmp_path / "a.json.gz").stat().st_size > 100_000
+    passes = []
+    monkeypatch.setattr(documents, "_beginnings", lambda rows, own=documents._beginnings: passes.append({r.file.rsplit("/", 1)[-1] for r in rows}) or own(rows))
+    assert records_in(spark, tmp_path).count() == 305 and passes == []
+    # Only files that are cut need to be gone through before.
+    write_document(tmp_path / "c.json", many)
+    assert records_in(spark, tmp_path).count() == 605 and passes == [{"c.json"}]
+    got = [json.loads(r.payload)["vehicle_id"] for r in records_in(spark, tmp_path / "c.json").collect()]
+    assert sorted(got) == sorted(r["vehicle_id"] for r in many)
+
+
 def test_a_brace_that_is_never_closed_is_not_gathered(spark, tmp_path, settings, monkeypatch):
     good = json.dumps(record(vehicle_id="V1"))
     (tmp_path / "a.json").write_text(f'[{good}, {{"open": {", ".join([good] * 400)}]')
