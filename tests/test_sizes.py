@@ -15,8 +15,8 @@ from roadstrata.sinks.bronze import land_bronze
 from roadstrata.sinks.silver import write_quarantine
 from roadstrata.sources.documents import read_documents
 from roadstrata.sources.files import list_inputs
-from roadstrata.sources.telemetry import read_records
-from roadstrata.workspace import SHUFFLE_WIDTH, bytes_under, few_partitions, materialize_at, path_exists, session_setting
+from roadstrata.sources.telemetry import read_records, read_telemetry
+from roadstrata.workspace import SHUFFLE_WIDTH, SMALLEST, bytes_under, evenly_cut, few_partitions, materialize_at, path_exists, session_setting
 from tests.records import record
 
 
@@ -214,3 +214,21 @@ def test_only_late_readings_wait_as_a_table(spark, sf_dir, fresh, monkeypatch):
         monkeypatch.setattr(catalog, job, lambda *a, **k: None)
     catalog.lake_by_day(spark, sf_dir)
     assert 0 < stored[0] < 0.1 * catalog.telemetry(spark, sf_dir).count()
+
+
+def test_files_that_come_in_even_splits_are_landed_without_a_shuffle(spark, tmp_path):
+    lines = spark.range(0, 1600, 1, 16).select(F.concat(F.lit('{"vehicle_id": "V'), "id", F.lit('"}')).alias("value"))
+    lines.write.options(**SMALLEST).text(str(tmp_path / "even"))
+    with session_setting(spark, "spark.sql.files.openCostInBytes", str(1 << 30)):
+        raw = read_telemetry(spark, str(tmp_path / "even"), multiline=False)
+        assert evenly_cut(raw)
+        land_bronze(raw, str(tmp_path / "out"), "2024-01-01", "b")
+        assert len(list((tmp_path / "out").rglob("*.parquet"))) == 16
+        assert spark.read.parquet(str(tmp_path / "out")).select("vehicle_id").distinct().count() == 1600
+        # A file that is much bigger than the others, few files, and rows whose tasks are not known yet are spread.
+        (tmp_path / "uneven").mkdir()
+        for i in range(16):
+            (tmp_path / "uneven" / f"{i}.json").write_text(json.dumps([record()] * (1 if i else 100)))
+        assert not evenly_cut(read_telemetry(spark, str(tmp_path / "uneven")))
+        assert not evenly_cut(read_telemetry(spark, str(tmp_path / "uneven" / "1.json")))
+        assert not evenly_cut(raw.repartition(16)) and not evenly_cut(spark.range(0, 100, 1, 16)) and not evenly_cut(spark.createDataFrame([], "a int"))
