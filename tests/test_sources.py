@@ -161,3 +161,17 @@ def test_a_document_of_lines_is_split(spark, tmp_path, settings):
     df = read_records(spark, str(tmp_path))
     assert df.rdd.getNumPartitions() > 4
     assert df.filter("vehicle_id = 'a' and _corrupt_record is null").count() == df.count() == 20_000
+
+
+def test_lines_lose_only_what_stands_around_a_record_and_few_meet_an_expression(spark, tmp_path):
+    ends = ["", ",", "]", "],", ", ]", "]\t,", ",\u2028", "\x85", " \x0b", "}", "},", "}]", "x,", "x]"]
+    starts = ["", "[", "[ ", "[[", "\t[", "[x", ","]
+    lines = [start + body + end for start in starts for body in ("", '{"vehicle_id": "[}]"}', "{", "é") for end in ends]
+    (tmp_path / "in.json").write_text("\n".join(lines), newline="")
+    line = F.trim("value")
+    bare = F.regexp_replace(F.regexp_replace(line, r"^\[\s*(?=\{|$)", ""), r"(?:^|(?<=\}))\s*[,\]]+\s*$", "")
+    wanted = spark.read.text(str(tmp_path)).select(bare.alias("payload")).filter("payload <> ''")
+    read = read_records(spark, str(tmp_path)).select("payload")
+    assert sorted(r.payload for r in read.collect()) == sorted(r.payload for r in wanted.collect())
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert "THEN regexp_replace" in plan and "regexp_replace" not in plan.replace("THEN regexp_replace", "")
